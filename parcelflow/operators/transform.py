@@ -61,6 +61,17 @@ def skip_report(records: DataFrame, raw: str = "raw") -> DataFrame:
     return without_key(records, raw).withColumn("identifying", identifying(F.col(raw)))
 
 
+def _computed_once(column: Column) -> Column:
+    """Keep filters on this column above the projection that computes it.
+
+    A filter on an ordinary column moves below its projection with the whole
+    expression in place of the name; for ``outcome`` that would parse the
+    record again for every field. Filters never move below a projection that
+    holds a non-deterministic column, while unused columns are still pruned.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
 @cache
 def _typing(application: str, fields: tuple[Field, ...], raw: str) -> dict[str, list[Column]]:
     """The column expressions of ``type_records``.
@@ -92,7 +103,7 @@ def _typing(application: str, fields: tuple[Field, ...], raw: str) -> dict[str,
             for f in fields
         ],
         "bad": [F.array_compact(F.array(*bad)).alias("bad_fields")],
-        "outcome": [outcome.alias("outcome")],
+        "outcome": [_computed_once(outcome).alias("outcome")],
     }
 
 
