@@ -23,15 +23,16 @@ def page_ledger(typed: DataFrame, by: Sequence[str] = ("run_no", "page_no")) ->
     """One row per page: stored, skipped and invalid counts and the newest time.
 
     Pages without a single stored row appear with a count of zero, so their
-    link still moves the cursor.
+    link still moves the cursor. The link belongs to the page; as a grouping
+    column it leaves only fixed-width values to fold, which Spark hashes
+    instead of sorting.
     """
     outcome = F.col("outcome")
-    return typed.groupBy(*by).agg(
+    return typed.groupBy(*by, "next_link").agg(
         F.count_if(outcome == STORED).alias("n_rows"),
         F.count_if(outcome == NO_KEY).alias("n_skipped"),
         F.count_if(outcome == INVALID).alias("n_invalid"),
         F.max(F.when(outcome == STORED, F.col(MODIFIED))).alias("max_ts"),
-        F.max("next_link").alias("next_link"),
     )
 
 

@@ -37,6 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core where the input is read in fewer splits than there are cores.
+
+    Building records costs far more than reading the narrow rows they come
+    from. A table of ordinary size has splits enough and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def later(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds, ts)
 
@@ -59,7 +69,7 @@ def _paged(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     last = orders.agg(F.floor(F.max(k) / PAGE_SIZE)).scalar()
     page = F.floor(k / PAGE_SIZE)
-    return orders.select(
+    return spread(orders).select(
         "*",
         k.alias("k"),
         page.alias("page_no"),
@@ -179,7 +189,7 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("UserId"),
         F.from_json("props", "k int").alias("Props"),
     )
-    return events.select(
+    return spread(events).select(
         page.alias("page_no"),
         F.when(page < last, F.concat(F.lit("page/"), (page + 1).cast("string"))).alias(
             "next_link"
