@@ -40,11 +40,34 @@ def latest_per_key(
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def latest_wide_rows(
+    df: DataFrame, key: str = KEY, order: Sequence[str] = ARRIVAL
+) -> DataFrame:
+    """``latest_per_key`` for rows that carry a large payload.
+
+    Ranking sorts its input on both sides of the shuffle. Here only the key
+    and the place of arrival are ranked; the payload moves once, in a semi
+    join on the place, which is unique and so cannot be skewed.
+    """
+    places = latest_per_key(df.select(key, *order), key, order).select(*order)
+    return df.join(places, list(order), "left_semi")
+
+
 def _same_key(left: str, right: str, key: str, collation: str | None) -> Column:
     a, b = F.col(f"{left}.{key}"), F.col(f"{right}.{key}")
     return F.collate(a, collation) == F.collate(b, collation) if collation else a == b
 
 
+def replace_rows(
+    base: DataFrame, winners: DataFrame, key: str = KEY, collation: str | None = None
+) -> DataFrame:
+    """``base`` with ``winners`` (one row per key) in place of the same keys."""
+    kept = base.alias("b").join(
+        winners.select(key).alias("w"), _same_key("b", "w", key, collation), "left_anti"
+    )
+    return kept.unionByName(winners)
+
+
 def apply_batch(
     base: DataFrame,
     batch: DataFrame,
@@ -65,10 +88,7 @@ def apply_batch(
         both = base.unionByName(batch.select(*columns))
         return latest_per_key(both, key, order, True, collation)
     winners = latest_per_key(batch, key, order, collation=collation)
-    kept = base.alias("b").join(
-        winners.select(key).alias("w"), _same_key("b", "w", key, collation), "left_anti"
-    )
-    return kept.select(*columns).unionByName(winners.select(*columns))
+    return replace_rows(base, winners.select(*columns), key, collation)
 
 
 def classify_batch(

@@ -297,12 +297,17 @@ def iso_z_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _both_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    typed = tr.type_records(feeds.order_records(spark, sf_dir), feeds.SLIM)
-    rows = tr.stamp(tr.stored_rows(typed), F.lit(LOADED_AT))
+    rows = tr.stamp(tr.stored_rows(_typed(spark, sf_dir)), F.lit(LOADED_AT))
     hot = rows.select(*[f.name for f in feeds.SLIM], "loaded_at")
     return hot, tr.raw(rows)
 
 
+def _halves_with_gaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both halves, with every thirteenth payload missing."""
+    hot, raw = _both_halves(spark, sf_dir)
+    return hot, raw.where(F.trim("ListingKey").cast("bigint") % 13 != 0)
+
+
 @query
 def hot_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = tr.type_records(feeds.full_records(spark, sf_dir))
@@ -330,10 +335,8 @@ def batch_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def hot_raw_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hot, raw = _both_halves(spark, sf_dir)
-    partial = raw.where(F.trim("ListingKey").cast("bigint") % 13 != 0)
     return (
-        audit.hot_raw_join(hot, partial)
+        audit.hot_raw_join(*_halves_with_gaps(spark, sf_dir))
         .select(
             "ListingKey",
             "MlsStatus",
@@ -345,8 +348,7 @@ def hot_raw_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hot, raw = _both_halves(spark, sf_dir)
-    partial = raw.where(F.trim("ListingKey").cast("bigint") % 13 != 0)
+    hot, partial = _halves_with_gaps(spark, sf_dir)
     return audit.orphans(hot, partial).select("ListingKey", "MlsStatus")
 
 
@@ -489,9 +491,7 @@ def resume_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hot, raw = _both_halves(spark, sf_dir)
-    partial = raw.where(F.trim("ListingKey").cast("bigint") % 13 != 0)
-    return audit.load_audit(hot, partial)
+    return audit.load_audit(*_halves_with_gaps(spark, sf_dir))
 
 
 @query
@@ -568,8 +568,7 @@ def csv_dialect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dry_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    typed = tr.type_records(feeds.order_records(spark, sf_dir), feeds.SLIM)
-    observed, rows = sync.observe_rows(typed)
+    observed, rows = sync.observe_rows(_typed(spark, sf_dir))
     rows.write.format("noop").mode("overwrite").save()
     seen = observed.get
     return spark.createDataFrame(
@@ -583,5 +582,5 @@ def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_work_dir(spark, "stream-pages")
     pg.land_pages(pg.pack_pages(feeds.event_records(spark, sf_dir)), f"{root}/landing")
     store = ListingStore(spark, f"{root}/store")
-    sync.full_sync(store, f"{root}/landing", "stream", pages_per_batch=32)
+    sync.full_sync(store, f"{root}/landing", "stream", pages_per_batch=64)
     return store.property(_ROW)

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from parcelflow.operators import transform as tr
 from parcelflow.operators.layout import write_layout
 from parcelflow.operators.ledger import committed_rows, page_ledger
-from parcelflow.operators.upsert import apply_batch, latest_per_key
+from parcelflow.operators.upsert import latest_per_key, latest_wide_rows, replace_rows
 from parcelflow.schema import (
     ARRIVAL,
     COMMIT_DDL,
@@ -202,25 +202,35 @@ class ListingStore:
     def _snapshot(self) -> Row | None:
         return self.read("snapshots").orderBy(F.desc("version")).first()
 
-    def _current(self, columns: Sequence[str], base_table: str) -> DataFrame:
-        snapshot = self._snapshot()
+    def _recent(self, snapshot: Row | None, columns: Sequence[str]) -> DataFrame:
+        """Stored rows of batches not yet compacted."""
         after = -1 if snapshot is None else snapshot["through_batch"]
         narrow = list(dict.fromkeys([KEY, *columns, *ARRIVAL]))
-        recent = self.committed_log(after).where(F.col("outcome") == STORED).select(*narrow)
-        if snapshot is None:
-            return latest_per_key(recent).select(*columns)
-        base = self._snapshot_table(base_table, snapshot)
-        # Runs are folded whole, so every recent row is later than the base.
-        order = [F.lit(0).alias(c) for c in ARRIVAL]
-        return apply_batch(base.select(*columns, *order), recent).select(*columns)
+        return self.committed_log(after).where(F.col("outcome") == STORED).select(*narrow)
 
     def property(self, columns: Sequence[str] = HOT_COLUMNS) -> DataFrame:
         """The search table: the last stored row of every key."""
-        return self._current(columns, "property")
+        snapshot = self._snapshot()
+        winners = latest_per_key(self._recent(snapshot, columns))
+        return self._over_snapshot(snapshot, "property", winners, columns)
 
     def property_raw(self) -> DataFrame:
         """The payload table, one row per key."""
-        return self._current(RAW_COLUMNS, "property_raw")
+        snapshot = self._snapshot()
+        winners = latest_wide_rows(self._recent(snapshot, RAW_COLUMNS))
+        return self._over_snapshot(snapshot, "property_raw", winners, RAW_COLUMNS)
+
+    def _over_snapshot(
+        self, snapshot: Row | None, table: str, winners: DataFrame, columns: Sequence[str]
+    ) -> DataFrame:
+        """Recent rows in place of the snapshot's rows of the same keys.
+
+        Runs are folded whole, so a recent row is always later.
+        """
+        if snapshot is None:
+            return winners.select(*columns)
+        base = self._snapshot_table(table, snapshot)
+        return replace_rows(base.select(*columns), winners.select(*columns))
 
     def skipped(self) -> DataFrame:
         """Records dropped for want of a key, with what identifies them."""

@@ -33,6 +33,8 @@ def local_session(cores: str = "*", app: str = "parcelflow") -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(parallelism))
         .config("spark.sql.adaptive.enabled", "true")
+        # Recording the call site of every column makes building them slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

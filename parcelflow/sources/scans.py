@@ -51,12 +51,9 @@ def stored_watermark(ledger: DataFrame, required: bool = True) -> Column:
     """
     mark = F.max("max_ts")
     if required:
-        mark = F.coalesce(
-            mark,
-            F.raise_error(
-                F.lit("no watermark yet: run a full sync or give a start time")
-            ).cast("timestamp"),
-        )
+        # The same type as the watermark: a cast would keep it from the scan.
+        failure = F.raise_error(F.lit("no watermark yet: run a full sync or give a start time"))
+        mark = F.coalesce(mark, failure.cast(ledger.schema["max_ts"].dataType))
     return ledger.agg(mark.alias("watermark")).scalar()
 
 

@@ -42,15 +42,17 @@ def run_pages(
     run_key: str,
     mode: str = "full",
     since: datetime | None = None,
-    pages_per_batch: int = 64,
+    pages_per_batch: int = 1024,
     quarantine: bool = False,
     should_stop: Callable[[], bool] = lambda: False,
 ) -> RunResult:
     """Load every landed page not yet loaded by this run, then stop.
 
     ``run_key`` names the run: calling again with the same key continues after
-    its last committed batch. ``should_stop`` is asked after each commit; the
-    batch in flight always completes, and no further one is written.
+    its last committed batch. A batch costs a few seconds besides its data, so
+    a backfill wants many pages in each; an exact resume point wants few.
+    ``should_stop`` is asked after each commit; the batch in flight always
+    completes, and no further one is written.
     """
     store.create()
     started = utc_now()
@@ -89,8 +91,10 @@ def incremental(store: ListingStore, landing: str, run_key: str, **options) -> R
     The bound of a run is fixed when the run starts: a continued run keeps
     the watermark that was in force before its first batch.
     """
-    earlier = store.create().commits().where(F.col("run_key") != run_key)
-    known = earlier.agg(F.max("max_ts")).first()[0]
+    commits = store.create().commits()
+    own = commits.where(F.col("run_key") == run_key).agg(F.min("run_no")).scalar()
+    earlier = own.isNull() | (F.col("run_no") < own)
+    known = commits.where(earlier).agg(F.max("max_ts")).first()[0]
     if known is None:
         raise RuntimeError("no watermark yet: run a full sync or give a start time")
     return run_pages(store, landing, run_key, "incremental", known, **options)

@@ -25,6 +25,9 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     result = entry.queries()[name](spark, SF_DIR)
     assert spark_rows(result) == duck_rows(duck, entry.oracle_sql()[name])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEval"):
+        assert operator not in plan
 
 
 def test_entry_is_lazy_and_has_rows(spark):
