@@ -25,7 +25,8 @@ def page_ledger(typed: DataFrame, by: Sequence[str] = ("run_no", "page_no")) ->
     Pages without a single stored row appear with a count of zero, so their
     link still moves the cursor. The link belongs to the page; as a grouping
     column it leaves only fixed-width values to fold, which Spark hashes
-    instead of sorting.
+    instead of sorting. ``n_copies`` counts first rows: above one, the page
+    was landed more than once.
     """
     outcome = F.col("outcome")
     return typed.groupBy(*by, "next_link").agg(
@@ -33,6 +34,7 @@ def page_ledger(typed: DataFrame, by: Sequence[str] = ("run_no", "page_no")) ->
         F.count_if(outcome == NO_KEY).alias("n_skipped"),
         F.count_if(outcome == INVALID).alias("n_invalid"),
         F.max(F.when(outcome == STORED, F.col(MODIFIED))).alias("max_ts"),
+        F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("n_copies"),
     )
 
 

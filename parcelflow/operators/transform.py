@@ -168,11 +168,11 @@ def stamp(df: DataFrame, loaded_at: Column) -> DataFrame:
     return df.withColumn("loaded_at", loaded_at)
 
 
-def hot(rows: DataFrame) -> DataFrame:
+def hot_half(rows: DataFrame) -> DataFrame:
     """The narrow search half of each row."""
     return rows.select(*HOT_COLUMNS)
 
 
-def raw(rows: DataFrame) -> DataFrame:
+def raw_half(rows: DataFrame) -> DataFrame:
     """The payload half of each row."""
     return rows.select(*RAW_COLUMNS)

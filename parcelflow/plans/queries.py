@@ -299,7 +299,7 @@ def iso_z_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _both_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows = tr.stamp(tr.stored_rows(_typed(spark, sf_dir)), F.lit(LOADED_AT))
     hot = rows.select(*[f.name for f in feeds.SLIM], "loaded_at")
-    return hot, tr.raw(rows)
+    return hot, tr.raw_half(rows)
 
 
 def _halves_with_gaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -311,7 +311,7 @@ def _halves_with_gaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
 @query
 def hot_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = tr.type_records(feeds.full_records(spark, sf_dir))
-    return tr.hot(tr.stamp(tr.stored_rows(typed), F.lit(LOADED_AT)))
+    return tr.hot_half(tr.stamp(tr.stored_rows(typed), F.lit(LOADED_AT)))
 
 
 @query
@@ -411,7 +411,7 @@ def committed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ledger(spark, sf_dir).drop("committed_at")
+    return _ledger(spark, sf_dir).drop("committed_at", "n_copies")
 
 
 @query

@@ -47,6 +47,10 @@ _DDL = {
 _PARTITION = {"snapshots": "version"}
 _RAW_DDL = f"{KEY} string, raw_data string, loaded_at timestamp"
 
+# A row's place in the log. A batch holds a page once; the batch number tells
+# apart copies of a page that were landed again later in a run.
+_PLACE = (*ARRIVAL, "batch_id")
+
 # Search columns the compacted table is ordered by unless the caller chooses.
 DEFAULT_LAYOUT = ("StateOrProvince", "City", "MlsStatus")
 
@@ -139,7 +143,9 @@ class ListingStore:
         if since is not None:
             # What the feed's own filter would leave out never enters the log.
             # The first row of a page stays as a marker, so the page still counts.
-            newer = F.coalesce(F.col(MODIFIED) > F.lit(since), F.lit(False))
+            # A time that cannot be read is a fault to report, not an old row.
+            unread = F.array_contains("bad_fields", MODIFIED)
+            newer = F.coalesce(F.col(MODIFIED) > F.lit(since), F.lit(False)) | unread
             marker = ~newer & (F.coalesce(F.col("pos"), F.lit(0)) == 0)
             typed = (
                 typed.where(newer | marker)
@@ -179,7 +185,11 @@ class ListingStore:
             "committed_at", F.lit(utc_now())
         ).write.mode("overwrite").parquet(self._partition("page_ledger", batch))
 
-        summary = self._read_one("page_ledger", batch).agg(
+        written = self._read_one("page_ledger", batch)
+        twin = written.where(F.col("n_copies") > 1).select("page_no").first()
+        if twin is not None:
+            raise ValueError(f"page {twin['page_no']} was landed more than once")
+        summary = written.agg(
             F.lit(run_no).alias("run_no"),
             F.lit(run_key).alias("run_key"),
             F.lit(epoch).cast("bigint").alias("epoch"),
@@ -205,19 +215,19 @@ class ListingStore:
     def _recent(self, snapshot: Row | None, columns: Sequence[str]) -> DataFrame:
         """Stored rows of batches not yet compacted."""
         after = -1 if snapshot is None else snapshot["through_batch"]
-        narrow = list(dict.fromkeys([KEY, *columns, *ARRIVAL]))
+        narrow = list(dict.fromkeys([KEY, *columns, *_PLACE]))
         return self.committed_log(after).where(F.col("outcome") == STORED).select(*narrow)
 
     def property(self, columns: Sequence[str] = HOT_COLUMNS) -> DataFrame:
         """The search table: the last stored row of every key."""
         snapshot = self._snapshot()
-        winners = latest_per_key(self._recent(snapshot, columns))
+        winners = latest_per_key(self._recent(snapshot, columns), order=_PLACE)
         return self._over_snapshot(snapshot, "property", winners, columns)
 
     def property_raw(self) -> DataFrame:
         """The payload table, one row per key."""
         snapshot = self._snapshot()
-        winners = latest_wide_rows(self._recent(snapshot, RAW_COLUMNS))
+        winners = latest_wide_rows(self._recent(snapshot, RAW_COLUMNS), order=_PLACE)
         return self._over_snapshot(snapshot, "property_raw", winners, RAW_COLUMNS)
 
     def _over_snapshot(

@@ -112,7 +112,7 @@ LOG_DDL: str = (
 )
 PAGE_LEDGER_DDL: str = (
     "run_no int, page_no bigint, n_rows bigint, n_skipped bigint, n_invalid bigint, "
-    "max_ts timestamp, next_link string, committed_at timestamp"
+    "max_ts timestamp, n_copies bigint, next_link string, committed_at timestamp"
 )
 COMMIT_DDL: str = (
     "batch_id bigint, run_no int, run_key string, epoch bigint, mode string, "

@@ -11,7 +11,9 @@ from parcelflow.operators import transform as tr
 from parcelflow.operators import upsert
 from parcelflow.operators.layout import write_layout
 from parcelflow.plans import feeds
+from parcelflow.plans.store import ListingStore
 from parcelflow.session import new_work_dir
+from parcelflow.sources import pages as pg
 from parcelflow.sources import scans
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -94,3 +96,21 @@ def test_layout_skips_rows_for_searches_and_time_bounds(spark):
     recent = scans.newer_than(spark.read.parquet(by_time), scans.stored_watermark(newest))
     assert recent.count() == 99
     assert scanned_rows(recent) < n / 4
+
+
+def test_compacted_payloads_are_not_shuffled(spark):
+    store = ListingStore(spark, new_work_dir(spark, "bucketed")).create()
+    records = feeds.customer_records(spark, SF_DIR)
+    store.ingest(pg.pack_pages(records), run_key="first")
+    assert store.compact(n_buckets=4) == 0
+    store.ingest(pg.pack_pages(records.where("pos % 10 = 0")), run_key="second")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        payloads = store.property_raw()
+        kept = plan(payloads).split("LeftAnti")[1].split("Sort [ListingKey")[1]
+        assert "Bucketed: true" in kept and "Exchange" not in kept.split("FileScan")[0]
+        assert payloads.count() == records.count()
+        newest = payloads.groupBy("loaded_at").count().orderBy("loaded_at").collect()
+        assert newest[1]["count"] == records.where("pos % 10 = 0").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -201,3 +201,24 @@ def test_same_key_twice_and_uncommitted_rows(spark, store):
         store.path("change_log/batch_id=77")
     )
     assert prices(store) == {"LK-1": "2.00", "LK-2": "200000.00"}
+
+
+def test_a_page_landed_twice(spark, store):
+    body = json.dumps({"value": [record(1, 1), record(2, 2)]})
+    pages = spark.createDataFrame([(0, body)], "page_no bigint, body string")
+    with pytest.raises(ValueError, match="page 0 was landed more than once"):
+        store.ingest(pages.unionAll(pages), "run", epoch=0)
+    assert store.commits().count() == 0
+    # Landed again later, the page replaces itself.
+    store.ingest(pages, "run", epoch=0)
+    store.ingest(pages, "run", epoch=1)
+    assert store.property().count() == 2 and store.property_raw().count() == 2
+    assert store.last_run()["done"]
+
+
+def test_an_unreadable_time_is_not_taken_for_an_old_one(spark, store):
+    bad = land(spark, [[record(1, 5), record(2, 1, ModificationTimestamp="soon"), record(3, 1)]])
+    with pytest.raises(Exception, match="fields=ModificationTimestamp"):
+        sync.since(store, bad, "strict", utc(2024, 1, 2))
+    result = sync.since(store, bad, "lenient", utc(2024, 1, 2), quarantine=True)
+    assert result.total_rows == 1 and store.rejected().count() == 1
