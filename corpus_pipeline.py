@@ -13,7 +13,7 @@ from parcelflow.llm.columns import fold, table
 from parcelflow.session import new_work_dir
 
 #: Least score and least share of letters in one language that a document needs.
-GOOD, ONE_LANGUAGE = 0.5, 0.5
+GOOD, ONE_LANGUAGE = 0.5, 1 / 3
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language, for half of their letters or more; learned as op8 learns."""
+    """Documents in a learned language, for a third of their letters or more; learned as op8 learns."""
     model = language.fit(docs.where(fold(4) != 2))
     found = language.with_languages(docs, model, "_found")
     return found.where((F.col("_found.lang") != "und") & (F.col("_found.score") >= ONE_LANGUAGE)).select(docs.columns)

@@ -15,7 +15,9 @@ from parcelflow.llm.wordhash import word_hashes
 #: Labelled texts of each label that are taken as neighbours, those with the least hashes.
 LABELLED = 2000
 #: Dimensions of the latent space, neighbours that vote, and the power their similarity is raised to.
-DIMENSIONS, NEIGHBOURS, POWER = 48, 25, 8
+DIMENSIONS, NEIGHBOURS, POWER = 48, 15, 24
+#: Weight of the few terms that count repeated words, against that of byte pairs.
+REPEATED = 6
 
 
 def _kinds() -> np.ndarray:
@@ -111,6 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Neighbours:
     values = np.array([r.quality for r in rows], np.float32)
     share = wanted.join(docs.where("text is not null").select("doc_id"), "doc_id").agg(F.avg("quality")).first()[0]
     weights = np.log1p(len(counts) / (1 + (counts > 0).sum(axis=0))).astype(np.float32)
+    weights[_PAIRS:] *= REPEATED
     _, axes = np.linalg.eigh((x := np.log1p(counts) * weights).T @ x)
     axes = axes[:, ::-1][:, :DIMENSIONS].astype(np.float32)
     return Neighbours(weights, axes, _unit(x @ axes), values, float(share))
