@@ -5,9 +5,12 @@ discretised weights, bands of the signature propose candidates, and candidates
 are verified by the exact overlap of their bags.
 
 Equal word sequences form one class first; only classes are compared. Within a
-band bucket every class is compared with one pivot, which is linear in the size
-of the bucket. Classes of a bucket that stay in different components after that
-are compared with each other, so no linked pair of a bucket is left out.
+band bucket every class is compared with one pivot, the class that shares most
+bands with others; that is linear in the size of the bucket and connects nearly
+all that can be. Classes of a bucket that still are in different components are
+compared in tiles: a task counts the shared shingles of two blocks of them at
+once and gives only links that connect. So no pair is left out that a band
+proposes, and no pairs are listed.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ SIMILAR = 0.8
 BANDS, PLACES = 30, 5
 #: Partners of a pivot that are verified by one task.
 PARTNERS = 256
+#: Classes and bytes of bags in a block of a tile.
+BLOCK_CLASSES, BLOCK_BYTES = 1024, 4 << 20
 
 _TURNS = np.random.default_rng(5).integers(1, 1 << 63, (2, 64), dtype=np.uint64) | np.uint64(1)
 
@@ -210,6 +215,128 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("pivot", "_fan", F.col("partner").asc_nulls_first()).mapInArrow(verify, "pivot long, partner long")
 
 
+def shared_counts(left: list, right: list) -> np.ndarray:
+    """How many shingles, with their counts, each bag on the left shares with each on the right.
+
+    The n-th occurrence of a shingle counts as an element of its own. Elements in
+    many bags of both sides are counted by a matrix product, the others one by one.
+    """
+    sides = []
+    for bags in (left, right):
+        elements = [mix(np.repeat(s, c) + _places(c) * _TURNS[1, 3]) for s, c in bags]
+        sides.append((np.concatenate(elements), np.repeat(np.arange(len(bags)), [len(e) for e in elements])))
+    (a, of_a), (b, of_b) = sides
+    both = np.intersect1d(a, b)
+    rows = []
+    for elements, of in sides:
+        at = np.searchsorted(both, elements).clip(max=max(0, len(both) - 1))
+        on = both[at] == elements if len(both) else np.zeros(len(at), bool)
+        order = np.argsort(at[on], kind="stable")
+        rows.append((at[on][order], of[on][order]))
+    (at_a, of_a), (at_b, of_b) = rows
+    n_a, n_b = np.bincount(at_a, minlength=len(both)), np.bincount(at_b, minlength=len(both))
+    out = np.zeros((len(left), len(right)))
+    frequent = n_a * n_b * 150 > len(left) * len(right)
+    often = np.flatnonzero(frequent)
+    for k in range(0, len(often), 2048):
+        some = np.full(len(both), -1)
+        some[often[k : k + 2048]] = np.arange(len(often[k : k + 2048]))
+        x, y = np.zeros((len(left), 2048), np.float32), np.zeros((len(right), 2048), np.float32)
+        for matrix, at, of in ((x, at_a, of_a), (y, at_b, of_b)):
+            on = some[at] >= 0
+            matrix[of[on], some[at[on]]] = 1
+        out += x @ y.T
+    first_a, first_b = np.concatenate([[0], np.cumsum(n_a)]), np.concatenate([[0], np.cumsum(n_b)])
+    rare = np.flatnonzero(~frequent)
+    ends = np.searchsorted(np.cumsum((n_a * n_b)[rare]), np.arange(0, (n_a * n_b)[rare].sum() + (1 << 20), 1 << 20))
+    for low, high in zip(ends[:-1], ends[1:], strict=True):
+        some = rare[low:high]
+        times = n_a[some] * n_b[some]
+        place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        i, j = np.divmod(place, np.repeat(n_b[some], times))
+        pair = of_a[np.repeat(first_a[some], times) + i] * len(right) + of_b[np.repeat(first_b[some], times) + j]
+        out += np.bincount(pair, minlength=out.size).reshape(out.shape)
+    return out
+
+
+def _places(counts: np.ndarray) -> np.ndarray:
+    """0 to count - 1 for every count, end to end."""
+    return (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
+
+
+def _connecting(rows: list[tuple], halves: tuple[list[int], list[int]]) -> list[tuple[int, int]]:
+    """Links between similar rows (class, label, bag) of the two halves of a tile, as few as connect all they connect."""
+    root = {label: label for _, label, _ in rows}
+
+    def top(label: int) -> int:
+        while root[label] != label:
+            label = root[label] = root[root[label]]
+        return label
+
+    left, right = halves
+    shared = shared_counts([rows[k][2] for k in left], [rows[k][2] for k in right])
+    sizes = np.array([float(bag[1].sum()) for _, _, bag in rows])
+    total = sizes[left][:, None] + sizes[right] - shared
+    found = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(shared >= SIMILAR * total - 1e-9)), strict=True):
+        a, b = rows[left[i]], rows[right[j]]
+        if top(a[1]) != top(b[1]) and overlap(a[2], b[2]) >= SIMILAR:
+            root[top(a[1])] = top(b[1])
+            found.append((a[0], b[0]))
+    return found
+
+
+def _links_apart(apart: DataFrame, bags: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Links (pivot, partner) between classes of one band that are in different components.
+
+    ``apart`` has band, class_id, label and whether the label is the band's main
+    one. The others form blocks of bounded size, and so do those of the main
+    label; each block of the others meets each block once.
+    """
+    sized = apart.join(sizes, "class_id").withColumn("_bytes", F.col("n_shingles") * 12)
+    blocks = lambda few: F.greatest(
+        F.ceil(F.count_if(F.col("main") != few) / BLOCK_CLASSES), F.ceil(F.sum(F.when(F.col("main") != few, F.col("_bytes")).otherwise(0)) / BLOCK_BYTES)
+    ).cast("int")
+    fans = sized.groupBy("band").agg(blocks(True).alias("_few"), blocks(False).alias("_main"))
+    own = F.pmod(F.xxhash64("class_id"), F.when(F.col("main"), F.col("_main")).otherwise(F.col("_few"))).cast("int")
+    tile = lambda kind, a, b, half: F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"), half.alias("half"))
+    few, main = (F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>")) for n in ("_few", "_main"))
+    among = F.transform(few, lambda j: tile(0, F.least("_own", j), F.greatest("_own", j), F.when(F.col("_own") == j, 2).when(F.col("_own") < j, 0).otherwise(1)))
+    across = F.transform(main, lambda j: tile(1, F.col("_own"), j, F.lit(0)))
+    mains = F.transform(few, lambda i: tile(1, i, F.col("_own"), F.lit(1)))
+    dealt = (
+        sized.join(fans, "band")
+        .withColumn("_own", own)
+        .select("band", "class_id", "label", F.explode(F.when(F.col("main"), mains).otherwise(F.concat(among, across))).alias("tile"))
+        .select("band", "class_id", "label", "tile.*")
+        .join(bags, "class_id")
+        .repartition("band", "kind", "a", "b")
+        .sortWithinPartitions("band", "kind", "a", "b")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, halves = None, [], ([], [])
+
+        def links() -> pa.RecordBatch:
+            found = _connecting(rows, halves) if all(halves) else []
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["pivot", "partner"])
+
+        for batch in batches:
+            plain = (batch.column(c).to_pylist() for c in ("band", "kind", "a", "b", "half", "class_id", "label"))
+            for *key, half, class_id, label, shingles, counts in zip(*plain, batch.column("shingles"), batch.column("counts"), strict=True):
+                if key != held:
+                    if held is not None:
+                        yield links()
+                    held, rows, halves = key, [], ([], [])
+                for side in (0, 1) if half == 2 else (half,):
+                    halves[side].append(len(rows))
+                rows.append((class_id, label, (np.frombuffer(shingles.as_buffer(), np.uint64), np.frombuffer(counts.as_buffer(), "<u4").astype(np.int64))))
+        if held is not None:
+            yield links()
+
+    return dealt.select("band", "kind", "a", "b", "half", "class_id", "label", "shingles", "counts").mapInArrow(compare, "pivot long, partner long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """id, label for every linked id: the least id it is connected with.
 
@@ -255,8 +382,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "classes",
     )
     exploded = classes.select("class_id", F.explode("bands").alias("band"))
-    shared = exploded.groupBy("band").agg(F.min("class_id").alias("pivot"), F.count("*").alias("_n")).where("_n > 1").select("band", "pivot")
+    shared = exploded.groupBy("band").agg(F.count("*").alias("_n")).where("_n > 1")
     members = _stored(exploded.join(shared, "band"), "members")
+    central = members.groupBy("class_id").agg(F.sum("_n").alias("_central"))
+    pivots = members.join(central, "class_id").groupBy("band").agg(F.max_by("class_id", F.struct("_central", -F.col("class_id"))).alias("pivot"))
+    members = _stored(members.join(pivots, "band").select("band", "class_id", "pivot"), "members")
     sizes = classes.select("class_id", "n_shingles")
 
     def near_in_size(pairs: DataFrame) -> DataFrame:
@@ -269,18 +399,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _stored(_verified(first_pairs, bags), "verified")
     labels = components(links)
 
-    placed = members.join(labels.withColumnRenamed("id", "class_id"), "class_id", "left").withColumn("label", F.coalesce("label", "class_id"))
+    placed = _stored(members.join(labels.withColumnRenamed("id", "class_id"), "class_id", "left").withColumn("label", F.coalesce("label", "class_id")), "placed")
     by_label = placed.groupBy("band", "label").agg(F.count("*").alias("_n"))
     main = by_label.groupBy("band").agg(F.count("*").alias("_labels"), F.max_by("label", F.struct("_n", "label")).alias("_main")).where("_labels > 1")
-    apart = _stored(placed.join(main, "band"), "apart")
-    few = apart.where("label != _main").select("band", F.col("class_id").alias("_few"), F.col("label").alias("_few_label"))
-    second = (
-        apart.join(few, "band")
-        .where((F.col("label") != F.col("_few_label")) & (F.col("class_id") != F.col("pivot")) & (F.col("_few") != F.col("pivot")))
-        .select(F.least("class_id", "_few").alias("pivot"), F.greatest("class_id", "_few").alias("partner"))
-        .distinct()
-    )
-    more = _stored(_verified(near_in_size(second), bags), "verified")
+    apart = placed.where("class_id != pivot").join(main, "band").select("band", "class_id", "label", (F.col("label") == F.col("_main")).alias("main"))
+    more = _stored(_links_apart(apart, bags, sizes), "verified")
     links = _stored(links.unionByName(more).distinct(), "links")
     labels = components(links)
 
