@@ -107,11 +107,22 @@ def classify_batch(
 def state_difference(
     left: DataFrame, right: DataFrame, ignore: Sequence[str] = ("loaded_at",)
 ) -> DataFrame:
-    """Rows held by only one of two states, load time aside; empty when equal."""
+    """Rows held by only one of two states, load time aside; empty when equal.
+
+    Both states are read once and meet in one shuffle: a row counts up on the
+    left and down on the right.
+    """
     columns = [c for c in left.columns if c not in ignore]
-    a, b = left.select(*columns), right.select(*columns)
+    a, b = left.select(*columns, F.lit(1).alias("_n")), right.select(*columns, F.lit(-1).alias("_n"))
     return (
-        a.exceptAll(b)
-        .withColumn("side", F.lit("left"))
-        .unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+        a.unionByName(b)
+        .groupBy(*columns)
+        .agg(F.sum("_n").alias("_n"))
+        .where("_n != 0")
+        .select(
+            *columns,
+            F.explode(
+                F.array_repeat(F.when(F.col("_n") > 0, "left").otherwise("right"), F.abs("_n").cast("int"))
+            ).alias("side"),
+        )
     )

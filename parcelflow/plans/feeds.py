@@ -38,13 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core where the input is read in fewer splits than there are cores.
+    """Deal the narrow rows evenly over the shuffle partitions of the session.
 
-    Building records costs far more than reading the narrow rows they come
-    from. A table of ordinary size has splits enough and is left alone.
+    Building records costs far more than moving the rows they come from, and
+    the splits of a file say little about how many rows each holds.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def later(ts: Column, seconds: Column) -> Column:
@@ -64,11 +63,18 @@ def iso_text(ts: Column, style: Column) -> Column:
     )
 
 
-def _paged(orders: DataFrame) -> DataFrame:
-    """Orders with a page, a position and a link to the next page."""
+def _paged(orders: DataFrame, empty_pages: bool = False) -> DataFrame:
+    """Orders with a page, a position and a link to the next page.
+
+    With ``empty_pages`` the numbers leave room for a page after every sixth.
+    """
     k = F.col("o_orderkey")
-    last = orders.agg(F.floor(F.max(k) / PAGE_SIZE)).scalar()
-    page = F.floor(k / PAGE_SIZE)
+    page = F.expr(f"o_orderkey div {PAGE_SIZE}")
+    last = F.expr(f"max(o_orderkey) div {PAGE_SIZE}")
+    if empty_pages:
+        page = F.expr(f"o_orderkey div {PAGE_SIZE} + o_orderkey div {6 * PAGE_SIZE}")
+        last = F.expr(f"max(o_orderkey) div {PAGE_SIZE} + max(o_orderkey) div {6 * PAGE_SIZE}")
+    last = orders.agg(last).scalar()
     return spread(orders).select(
         "*",
         k.alias("k"),
@@ -99,12 +105,11 @@ def _key_text(k: Column) -> Column:
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slim records ``(page_no, next_link, pos, raw)`` with every fault.
 
-    Page 3 of every seven has no usable key at all; page 5 of every seven is
-    empty and shows as a single marker row.
+    Page 3 of every seven has no usable key at all; page 6 of every seven is
+    empty and shows as a single marker row besides all orders.
     """
     k = F.col("k")
     price = F.col("o_totalprice").cast("decimal(14,2)").cast("string")
-    empty = F.col("page_no") % 7 == 5
     record = F.struct(
         _key_text(k).alias("ListingKey"),
         F.when(k % 3 != 0, F.concat(F.lit("ID-"), k.cast("string"))).alias("ListingId"),
@@ -121,14 +126,28 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), (F.col("o_custkey") % 9).cast("string")).alias("SourceSystem"),
         F.struct((k % 4).alias("n")).alias("Media"),
     )
+    orders = table(spark, sf_dir, "orders")
+    records = _paged(orders, empty_pages=True).select(
+        "page_no", "next_link", F.col("p").alias("pos"), F.to_json(record).alias("raw")
+    )
+    return records.unionByName(_empty_pages(orders))
+
+
+def _empty_pages(orders: DataFrame) -> DataFrame:
+    """A marker row for the page after every sixth one, but for a page past the last order."""
+    full = orders.select(F.expr(f"o_orderkey div {PAGE_SIZE}").alias("f"))
+    last = full.agg(F.expr("max(f) + max(f) div 6")).scalar()
+    page = F.col("page_no")
     return (
-        _paged(table(spark, sf_dir, "orders"))
-        .where(~empty | (F.col("p") == 0))
+        full.where("f % 6 = 5")
+        .select(F.expr("f + f div 6 + 1").alias("page_no"))
+        .distinct()
+        .where(page <= last)
         .select(
             "page_no",
-            "next_link",
-            F.when(~empty, F.col("p")).alias("pos"),
-            F.when(~empty, F.to_json(record)).alias("raw"),
+            F.when(page < last, F.concat(F.lit("page/"), (page + 1).cast("string"))).alias("next_link"),
+            F.lit(None).cast("int").alias("pos"),
+            F.lit(None).cast("string").alias("raw"),
         )
     )
 
@@ -168,7 +187,7 @@ def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that carry all promoted columns, and one unknown field."""
     record = F.struct(
         *[_full_value(i, f).alias(f.name) for i, f in enumerate(PROMOTED)],
-        F.lit("preserve-me").alias("SomeUnknownField"),
+        F.struct((F.col("k") % 3).alias("level"), F.lit("as sent").alias("note")).alias("VendorHints"),
     )
     return _paged(table(spark, sf_dir, "orders")).select(
         "page_no", "next_link", F.col("p").alias("pos"), F.to_json(record).alias("raw")
@@ -179,8 +198,8 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as records; ``props`` is kept as a nested document."""
     e = F.col("event_id")
     events = table(spark, sf_dir, "events")
-    last = events.agg(F.floor(F.max(e) / PAGE_SIZE)).scalar()
-    page = F.floor(e / PAGE_SIZE)
+    last = events.agg(F.expr(f"max(event_id) div {PAGE_SIZE}")).scalar()
+    page = F.expr(f"event_id div {PAGE_SIZE}")
     record = F.struct(
         e.cast("string").alias("ListingKey"),
         F.col("event_type").alias("MlsStatus"),
@@ -207,9 +226,12 @@ def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").cast("decimal(14,2)").cast("string").alias("ListPrice"),
         F.lit("2024-01-01T00:00:00Z").alias("ModificationTimestamp"),
     )
-    return table(spark, sf_dir, "customer").select(
-        F.floor(c / PAGE_SIZE).alias("page_no"),
-        F.lit(None).cast("string").alias("next_link"),
+    customers = table(spark, sf_dir, "customer")
+    last = customers.agg(F.expr(f"max(c_custkey) div {PAGE_SIZE}")).scalar()
+    page = F.expr(f"c_custkey div {PAGE_SIZE}")
+    return customers.select(
+        page.alias("page_no"),
+        F.when(page < last, F.concat(F.lit("page/"), (page + 1).cast("string"))).alias("next_link"),
         (c % PAGE_SIZE).cast("int").alias("pos"),
         F.to_json(record).alias("raw"),
     )
@@ -224,7 +246,7 @@ def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(14,2)").alias("ListPrice"),
         F.col("o_orderdate").cast("timestamp").alias("ModificationTimestamp"),
         F.lit(0).alias("run_no"),
-        F.floor(k / PAGE_SIZE).alias("page_no"),
+        F.expr(f"o_orderkey div {PAGE_SIZE}").alias("page_no"),
         (k % PAGE_SIZE).cast("int").alias("pos"),
     )
 
@@ -250,6 +272,6 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast("timestamp")
         .alias("ModificationTimestamp"),
         F.lit(1).alias("run_no"),
-        F.floor(k / PAGE_SIZE).alias("page_no"),
+        F.expr(f"o_orderkey div {PAGE_SIZE}").alias("page_no"),
         (k % PAGE_SIZE).cast("int").alias("pos"),
     )

@@ -5,25 +5,33 @@ from __future__ import annotations
 from parcelflow.schema import PROMOTED, PROMOTED_NAMES, Field
 
 # The orders feed as the queries see it: page 3 of every seven without keys,
-# page 5 of every seven empty, and the faults each record carries.
+# page 6 of every seven empty, and the faults each record carries.
 _FEED = """
 WITH numbered AS (
-  SELECT *, o_orderkey AS k, o_orderkey // 1000 AS page_no,
+  SELECT *, o_orderkey AS k, o_orderkey // 1000 + o_orderkey // 6000 AS page_no,
          CAST(o_orderkey % 1000 AS INTEGER) AS p,
          o_orderdate + to_microseconds((o_orderkey % 86400) * 1000000
                                        + (o_orderkey % 5) * 250000) AS modified,
-         (SELECT max(o_orderkey) // 1000 FROM orders) AS last_page
+         (SELECT max(o_orderkey) // 1000 + max(o_orderkey) // 6000 FROM orders) AS last_page
   FROM orders
-), feed AS (
-  SELECT *, CASE WHEN page_no % 7 <> 5 THEN p END AS pos,
+), records AS (
+  SELECT *, p AS pos,
          CASE WHEN page_no < last_page THEN 'page/' || CAST(page_no + 1 AS VARCHAR) END
            AS next_link,
          page_no % 7 <> 3 AND k % 97 NOT IN (13, 29, 31, 43) AS has_key,
          CASE WHEN k % 97 = 59 THEN '  ' || k || ' ' ELSE CAST(k AS VARCHAR) END AS listing_key,
          k % 101 IN (7, 11) AS bad_price,
          CASE WHEN k % 53 <> 0 THEN modified END AS sent_ts
-  FROM numbered WHERE page_no % 7 <> 5 OR p = 0
-), records AS (SELECT * FROM feed WHERE pos IS NOT NULL),
+  FROM numbered
+), feed AS (
+  SELECT * FROM records
+  UNION ALL BY NAME
+  SELECT page_no, last_page,
+         CASE WHEN page_no < last_page THEN 'page/' || CAST(page_no + 1 AS VARCHAR) END
+           AS next_link
+  FROM (SELECT DISTINCT page_no + 1 AS page_no, last_page FROM numbered WHERE page_no % 7 = 5)
+  WHERE page_no <= last_page
+),
 stored AS (SELECT * FROM records WHERE has_key AND NOT bad_price),
 ledger AS (
   SELECT page_no,
@@ -139,7 +147,7 @@ SELECT page_no, next_link, pos,
 FROM feed""",
     "page_chain": _FEED
     + """, cut AS (
-  SELECT page_no, pos, CASE WHEN page_no % 11 <> 9 THEN next_link END AS next_link FROM feed
+  SELECT page_no, pos, CASE WHEN page_no <> last_page - 1 THEN next_link END AS next_link FROM feed
 )
 SELECT page_no, next_link, pos FROM cut
 WHERE page_no <= (SELECT min(page_no) FROM cut WHERE next_link IS NULL)""",
@@ -159,7 +167,8 @@ SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate <= TIMESTAMP '1996-
     "resume_pages": _FEED
     + """
 SELECT page_no, next_link, pos FROM feed WHERE page_no > (
-  SELECT coalesce(max(page_no), -1) FROM numbered WHERE page_no * 5 < last_page * 2)""",
+  SELECT coalesce(max(o_orderkey // 1000), -1) FROM orders
+  WHERE o_orderkey // 1000 * 5 < (SELECT max(o_orderkey) // 1000 FROM orders) * 2)""",
     "paginate": """
 SELECT o_orderkey, o_orderdate, rn // 1000 AS page_no, CAST(rn % 1000 AS INTEGER) AS pos
 FROM (SELECT o_orderkey, o_orderdate,
@@ -349,5 +358,11 @@ SELECT count(*) FILTER (has_key AND NOT bad_price) AS n_rows,
        count(*) FILTER (NOT has_key) AS n_skipped,
        max(sent_ts) FILTER (has_key AND NOT bad_price) AS max_ts
 FROM records""",
+    "recreate_reload": _EVENT_ROWS.format(price="value"),
+    "continued_run": _EVENT_ROWS.format(
+        price="CASE WHEN event_id // 1000 % 2 = 0 AND event_id % 1000 % 3 = 0 THEN 1.50 ELSE value END"
+    ),
+    "chain_end_load": _EVENT_ROWS.format(price="value")
+    + "WHERE event_id // 1000 <= greatest((SELECT max(event_id) // 1000 FROM events) - 1, 0)",
     "stream_pages": _EVENT_ROWS.format(price="value"),
 }

@@ -78,9 +78,11 @@ def page_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The chain is cut on page 9 of every eleven.
-    records = feeds.order_records(spark, sf_dir).withColumn(
-        "next_link", F.when(F.col("page_no") % 11 != 9, F.col("next_link"))
+    # The chain ends on the page before the last; the last is a leftover.
+    records = feeds.order_records(spark, sf_dir)
+    last = records.agg(F.max("page_no")).scalar()
+    records = records.withColumn(
+        "next_link", F.when(F.col("page_no") != last - 1, F.col("next_link"))
     )
     return pg.follow_chain(records, records.select("page_no", "next_link")).select(
         "page_no", "next_link", "pos"
@@ -390,7 +392,7 @@ def bulk_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.ingest(packed, run_key="first")
     # A batch that wrote its rows but never its commit: it must stay unseen,
     # and the next batch takes its place.
-    store.prepare(packed, LOADED_AT).limit(5).write.parquet(store.path("change_log/batch_id=1"))
+    store.prepare(packed, LOADED_AT).write.parquet(store.path("change_log/batch_id=1"))
     changed = records.where(F.col("pos") % 3 == 0).withColumn(
         "raw", F.regexp_replace("raw", '"ListPrice":"[^"]*"', '"ListPrice":"1.50"')
     )
@@ -577,6 +579,49 @@ def dry_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def recreate_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A recreated store takes a run of the same name from its start."""
+    root = new_work_dir(spark, "recreate-reload")
+    pg.land_pages(pg.pack_pages(feeds.event_records(spark, sf_dir)), f"{root}/landing")
+    store = ListingStore(spark, f"{root}/store")
+    for _ in range(2):
+        store.create(recreate=True)
+        sync.full_sync(store, f"{root}/landing", "again")
+    return store.property(_ROW)
+
+
+@query
+def continued_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that stops, another one, a compaction, then the rest of the first.
+
+    What arrives last wins: the second run over the first half, and the rest
+    of the first run over the second.
+    """
+    store = ListingStore(spark, new_work_dir(spark, "continued-run")).create()
+    records = feeds.event_records(spark, sf_dir)
+    packed = pg.pack_pages(records)
+    store.ingest(packed.where("page_no % 2 = 0"), run_key="first", epoch=0)
+    changed = records.where("pos % 3 = 0").withColumn(
+        "raw", F.regexp_replace("raw", '"ListPrice":"[^"]*"', '"ListPrice":"1.50"')
+    )
+    store.ingest(pg.pack_pages(changed), run_key="second")
+    store.compact()
+    store.ingest(packed.where("page_no % 2 = 1"), run_key="first", epoch=1)
+    return store.property(_ROW)
+
+
+@query
+def chain_end_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load stops at the first page without a link; the last page is a leftover."""
+    store = ListingStore(spark, new_work_dir(spark, "chain-end")).create()
+    records = feeds.event_records(spark, sf_dir)
+    last = records.agg(F.max("page_no")).scalar()
+    cut = records.withColumn("next_link", F.when(F.col("page_no") != last - 1, F.col("next_link")))
+    store.ingest(pg.pack_pages(cut), run_key="cut")
+    return store.property(_ROW)
+
+
 @query
 def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_work_dir(spark, "stream-pages")

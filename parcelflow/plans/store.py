@@ -9,7 +9,7 @@ the next attempt takes the same number and overwrites it.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
@@ -26,6 +26,7 @@ from parcelflow.schema import (
     COMMIT_DDL,
     EMPTY_PAGE,
     HOT_COLUMNS,
+    INVALID,
     KEY,
     LOG_DDL,
     MODIFIED,
@@ -35,7 +36,7 @@ from parcelflow.schema import (
     STORED,
 )
 from parcelflow.session import configure
-from parcelflow.sources.pages import open_pages
+from parcelflow.sources.pages import follow_chain, open_pages, page_links
 from parcelflow.sources.scans import stored_watermark
 
 _DDL = {
@@ -73,15 +74,33 @@ class ListingStore:
         return f"{self.path(table)}/{_PARTITION.get(table, 'batch_id')}={number}"
 
     def create(self, recreate: bool = False) -> ListingStore:
-        """Create what is missing; with ``recreate`` empty every table first."""
+        """Create what is missing; with ``recreate`` empty every table first.
+
+        Snapshots and the places of runs in their landings go with the tables,
+        so that a run of a known name starts anew.
+        """
+        if recreate:
+            for version in self._versions():
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._raw_table(version)}")
+            for folder in (*_DDL, "compacted", "checkpoints"):
+                self._remove(self.path(folder))
         for table, ddl in _DDL.items():
             empty = self.spark.createDataFrame([], ddl)
-            if recreate:
-                empty.write.mode("overwrite").parquet(self.path(table))
             # Partition -1 holds no rows; it lets an empty table be read.
             empty.write.mode("ignore").parquet(self._partition(table, -1))
         return self
 
+    def _remove(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _versions(self) -> list[int]:
+        """Snapshots made so far; none where there is no store yet."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path("snapshots"))
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return []
+        return [r["version"] for r in self.read("snapshots").select("version").collect()]
+
     def read(self, table: str) -> DataFrame:
         number = _PARTITION.get(table, "batch_id")
         return self.spark.read.schema(f"{_DDL[table]}, {number} bigint").parquet(
@@ -114,12 +133,17 @@ class ListingStore:
         return commits.agg(F.coalesce(F.max(column), F.lit(-1))).first()[0]
 
     def _next(self, run_key: str, epoch: int) -> Row:
-        """Where a batch goes: its number, its run's number, and if it is done."""
+        """Where a batch goes: its number, its run's number, and if it is done.
+
+        A run that goes on after another one has committed gets a new number,
+        so that numbers follow the order of arrival.
+        """
         of_run = F.col("run_key") == run_key
+        newest = F.max_by("run_key", "batch_id") == run_key
         return self.commits().agg(
             (F.coalesce(F.max("batch_id"), F.lit(-1)) + 1).alias("batch"),
             F.coalesce(
-                F.max(F.when(of_run, F.col("run_no"))), F.max("run_no") + 1, F.lit(0)
+                F.max("run_no") + F.when(newest, 0).otherwise(1), F.lit(0)
             ).alias("run_no"),
             F.coalesce(F.bool_or(of_run & (F.col("epoch") == epoch)), F.lit(False)).alias("done"),
         ).first()
@@ -144,7 +168,7 @@ class ListingStore:
             # What the feed's own filter would leave out never enters the log.
             # The first row of a page stays as a marker, so the page still counts.
             # A time that cannot be read is a fault to report, not an old row.
-            unread = F.array_contains("bad_fields", MODIFIED)
+            unread = (F.col("outcome") == INVALID) & F.col(MODIFIED).isNull()
             newer = F.coalesce(F.col(MODIFIED) > F.lit(since), F.lit(False)) | unread
             marker = ~newer & (F.coalesce(F.col("pos"), F.lit(0)) == 0)
             typed = (
@@ -176,7 +200,7 @@ class ListingStore:
             return self.find_commit(run_key, epoch)
         batch, run_no = place["batch"], place["run_no"]
         loaded_at = utc_now()
-        rows = self.prepare(pages, loaded_at, since, quarantine)
+        rows = self.prepare(self._in_chain(pages, run_key), loaded_at, since, quarantine)
         rows.withColumn("run_no", F.lit(run_no)).select(
             *T.StructType.fromDDL(_DDL["change_log"]).names
         ).write.mode("overwrite").parquet(self._partition("change_log", batch))
@@ -186,7 +210,8 @@ class ListingStore:
         ).write.mode("overwrite").parquet(self._partition("page_ledger", batch))
 
         written = self._read_one("page_ledger", batch)
-        twin = written.where(F.col("n_copies") > 1).select("page_no").first()
+        copies = written.groupBy("page_no").agg(F.sum("n_copies").alias("n_copies"))
+        twin = copies.where(F.col("n_copies") > 1).select("page_no").first()
         if twin is not None:
             raise ValueError(f"page {twin['page_no']} was landed more than once")
         summary = written.agg(
@@ -207,6 +232,18 @@ class ListingStore:
         summary.coalesce(1).write.mode("overwrite").parquet(self._partition("commits", batch))
         return self.find_commit(run_key, epoch)
 
+    def _of_run(self, rows: DataFrame, run_key: str) -> DataFrame:
+        """Ledger rows of one run, under all the numbers it had."""
+        numbers = self.commits().where(F.col("run_key") == run_key).select("run_no").distinct()
+        return rows.join(numbers, "run_no", "left_semi")
+
+    def _in_chain(self, pages: DataFrame, run_key: str) -> DataFrame:
+        """Pages up to the first without a link, among these and the run's earlier ones."""
+        links = page_links(pages).unionByName(
+            self._of_run(self.ledger(), run_key).select("page_no", "next_link")
+        )
+        return follow_chain(pages, links)
+
     # ---- current state --------------------------------------------------
 
     def _snapshot(self) -> Row | None:
@@ -269,7 +306,7 @@ class ListingStore:
         return f"{self.root}/compacted/version={version}/{table}"
 
     def _raw_table(self, version: int) -> str:
-        return f"parcelflow_raw_{zlib.crc32(self.root.encode()):08x}_v{version}"
+        return f"parcelflow_raw_{hashlib.sha256(self.root.encode()).hexdigest()[:40]}_v{version}"
 
     def _snapshot_table(self, table: str, snapshot: Row) -> DataFrame:
         path = self._snapshot_path(table, snapshot["version"])
@@ -289,17 +326,17 @@ class ListingStore:
         A run is done when its last page has no link and no page before that
         one is missing; micro-batches may have taken pages out of order.
         """
-        run_no = self._last(self.commits(), "run_no")
-        if run_no < 0:
+        newest = self.commits().orderBy(F.desc("batch_id")).select("run_key", "run_no").first()
+        if newest is None:
             return None
-        commits = self.commits().where(F.col("run_no") == run_no)
-        pages = self.ledger().where(F.col("run_no") == run_no)
+        commits = self.commits().where(F.col("run_key") == newest["run_key"])
+        pages = self._of_run(self.ledger(), newest["run_key"])
         seen = pages.agg(F.countDistinct("page_no")).scalar()
         link = F.max_by("next_link", "last_page")
         return commits.agg(
             F.max("run_key").alias("run_key"),
             F.max("mode").alias("mode"),
-            F.min("batch_id").alias("first_batch"),
+            F.min(F.when(F.col("run_no") == newest["run_no"], F.col("batch_id"))).alias("first_batch"),
             F.max("batch_id").alias("last_batch"),
             (link.isNull() & (seen == F.max("last_page") + 1)).alias("done"),
             F.max("committed_at").alias("committed_at"),

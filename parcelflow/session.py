@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,20 +43,26 @@ def local_session(cores: str = "*", app: str = "parcelflow") -> SparkSession:
     return configure(spark)
 
 
+# Local folders of sessions that run on this machine alone, by application.
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
     A machine-local folder is used only where the setting is absent and the
-    whole session runs on this machine.
+    whole session runs on this machine; it goes when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="parcelflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="parcelflow-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
+    return _local_dirs[app]
 
 
 def new_work_dir(spark: SparkSession, label: str) -> str:

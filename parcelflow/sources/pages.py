@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENVELOPE_DDL = "value array<string>, `@odata.nextLink` string"
-_PAGE_NUMBER = r"page(?:_no=|[-_]?)0*(\d+)"
+# The last such number in the path: folders above may be called anything.
+_PAGE_NUMBER = r".*page(?:_no=|[-_]?)0*(\d+)"
 
 
 def _numbered(df: DataFrame) -> DataFrame:
@@ -37,6 +38,8 @@ def stream_landed(spark: SparkSession, path: str, pages_per_batch: int) -> DataF
         spark.readStream.schema("value string")
         .option("wholetext", True)
         .option("maxFilesPerTrigger", pages_per_batch)
+        # Landed copies may keep old file times; none is too old to read.
+        .option("maxFileAge", "36500d")
         .text(path)
     )
 
@@ -46,6 +49,12 @@ def _envelope(body: Column) -> Column:
     return F.from_json(body, ENVELOPE_DDL, {"mode": "FAILFAST"})
 
 
+def page_links(pages: DataFrame) -> DataFrame:
+    """``(page_no, next_link)`` of pages, without their records."""
+    link = F.from_json("body", "`@odata.nextLink` string", {"mode": "FAILFAST"})
+    return pages.select("page_no", link.getField("@odata.nextLink").alias("next_link"))
+
+
 def open_pages(pages: DataFrame) -> DataFrame:
     """One row per record: ``(page_no, next_link, pos, raw)``.
 

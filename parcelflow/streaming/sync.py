@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from parcelflow.operators.ledger import resume_decision
 from parcelflow.plans.store import ListingStore, utc_now
 from parcelflow.schema import MODIFIED, NO_KEY, STORED
-from parcelflow.sources.pages import read_landed, stream_landed
+from parcelflow.sources.pages import follow_chain, page_links, read_landed, stream_landed
 
 _STOP = "parcelflow: stop requested"
 
@@ -119,8 +119,9 @@ def dry_run(
 ) -> RunResult:
     """Read and type every page, write nothing, report count and newest time."""
     started = utc_now()
+    landed = read_landed(store.spark, landing)
     observed, rows = observe_rows(
-        store.prepare(read_landed(store.spark, landing), started, since, quarantine)
+        store.prepare(follow_chain(landed, page_links(landed)), started, since, quarantine)
     )
     rows.write.format("noop").mode("overwrite").save()
     summary = observed.get

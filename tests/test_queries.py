@@ -6,6 +6,8 @@ import pytest
 from oracle import connect, duck_rows, spark_rows
 
 import __spark_entry__ as entry
+from parcelflow.plans.oracles import ORACLES
+from parcelflow.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -18,13 +20,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items() and ORACLES.items() <= entry.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    result = entry.queries()[name](spark, SF_DIR)
-    assert spark_rows(result) == duck_rows(duck, entry.oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    assert spark_rows(result) == duck_rows(duck, ORACLES[name])
     plan = result._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEval"):
         assert operator not in plan
