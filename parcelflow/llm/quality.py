@@ -101,20 +101,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> Neighbours:
 
     def count(batches):
         for batch in by_bytes(batches, "text"):
-            rows = [c.tobytes() for c in term_counts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(rows, pa.binary())], ["doc_id", "quality", "terms"])
+            counts = term_counts(batch.column("text"))
+            at = [np.flatnonzero(c).astype("<u2") for c in counts]  # few of the terms occur in a text
+            times = [c[k].tobytes() for c, k in zip(counts, at, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("quality"), pa.array([k.tobytes() for k in at], pa.binary()), pa.array(times, pa.binary())], ["doc_id", "quality", "terms", "times"]
+            )
 
     taught = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(few), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     kinds = {f.name: f.dataType.simpleString() for f in taught.schema.fields}
-    rows = taught.select("doc_id", "quality", "text").mapInArrow(count, f"doc_id {kinds['doc_id']}, quality {kinds['quality']}, terms binary").orderBy("doc_id", "quality", "terms").collect()
+    rows = taught.select("doc_id", "quality", "text").mapInArrow(count, f"doc_id {kinds['doc_id']}, quality {kinds['quality']}, terms binary, times binary").orderBy("doc_id", "quality").collect()
     if not rows:
         return Neighbours(np.zeros(TERMS, np.float32), np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32), 0.5)
-    counts = np.frombuffer(b"".join(r.terms for r in rows), np.float32).reshape(-1, TERMS)
+    counts = np.zeros((len(rows), TERMS), np.float32)
+    for count, r in zip(counts, rows, strict=True):
+        count[np.frombuffer(r.terms, "<u2")] = np.frombuffer(r.times, np.float32)
     values = np.array([r.quality for r in rows], np.float32)
     share = wanted.join(docs.where("text is not null").select("doc_id"), "doc_id").agg(F.avg("quality")).first()[0]
     weights = np.log1p(len(counts) / (1 + (counts > 0).sum(axis=0))).astype(np.float32)
     weights[_PAIRS:] *= REPEATED
-    _, axes = np.linalg.eigh((x := np.log1p(counts) * weights).T @ x)
+    x = np.log1p(counts, out=counts)
+    x *= weights
+    _, axes = np.linalg.eigh(x.T @ x)
     axes = axes[:, ::-1][:, :DIMENSIONS].astype(np.float32)
     return Neighbours(weights, axes, _unit(x @ axes), values, float(share))
 
