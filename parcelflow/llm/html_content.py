@@ -295,7 +295,9 @@ def templates(pages: DataFrame) -> DataFrame:
         held: dict[str, list] = {}
         for batch in by_bytes(batches, "html"):
             for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                page = shape(parse(html or ""))
+                if not (html or "").strip():
+                    continue
+                page = shape(parse(html))
                 held[host] = merged(held[host], page) if host in held else page
             if len(held) > HELD:
                 yield _rows(held)
@@ -329,8 +331,8 @@ def extract(pages: DataFrame) -> DataFrame:
     what is marked as something else; elsewhere it is what the host's template
     leaves over. Null and empty html give an empty text; pages without a host, or
     of hosts with fewer than ``PAGES`` pages or with equal pages only, have no
-    template. Repeated rows are extracted each and count as pages each. Other
-    columns are not read.
+    template, and empty pages count for none. Repeated rows are extracted each and
+    count as pages each. Other columns are not read.
     """
     spark = pages.sparkSession
     rows = pages.select("page_id", "url", "html").withColumn("host", host_of("url"))
