@@ -71,7 +71,7 @@ def running_progress(ledger: DataFrame, by: Sequence[str] = ("run_no",)) -> Data
     A window over the whole ledger would put it all in one task. Here pages
     fold inside blocks first; only the block totals are folded in sequence.
     """
-    blocks = ledger.withColumn("_block", F.floor(F.col("page_no") / _BLOCK))
+    blocks = ledger.withColumn("_block", F.expr(f"page_no div {_BLOCK}"))
     group = [*by, "_block"]
     so_far = (
         Window.partitionBy(*group)

@@ -50,16 +50,27 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.type_records(feeds.order_records(spark, sf_dir), feeds.SLIM)
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table of its own, so that several readers do not compute it again."""
+    path = new_work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The page ledger of the slim feed; a page is committed every two seconds."""
-    return ledger.page_ledger(_typed(spark, sf_dir), ["page_no"]).withColumn(
+    """The stored page ledger of the slim feed; a page is committed every two seconds."""
+    return _written(_ledger_of(_typed(spark, sf_dir)), "ledger")
+
+
+def _ledger_of(typed: DataFrame) -> DataFrame:
+    return ledger.page_ledger(typed, ["page_no"]).withColumn(
         "committed_at",
         F.timestamp_add("SECOND", (F.col("page_no") + 1) * 2, F.lit(STARTED_AT)),
     )
 
 
 def _order_ledger(orders: DataFrame) -> DataFrame:
-    return orders.groupBy(F.floor(F.col("o_orderkey") / 1000).alias("page_no")).agg(
+    return orders.groupBy(F.expr("o_orderkey div 1000").alias("page_no")).agg(
         F.count("*").alias("n_rows"), F.max("o_orderdate").alias("max_ts")
     )
 
@@ -138,7 +149,7 @@ def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def resume_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = feeds.table(spark, sf_dir, "orders")
-    last = orders.agg(F.floor(F.max("o_orderkey") / 1000)).scalar()
+    last = orders.agg(F.expr("max(o_orderkey) div 1000")).scalar()
     committed = _order_ledger(orders).where(F.col("page_no") * 5 < last * 2)
     waiting = pg.pages_after(pg.pack_pages(feeds.order_records(spark, sf_dir)), committed)
     return pg.open_pages(waiting).select("page_no", "next_link", "pos")
@@ -299,7 +310,7 @@ def iso_z_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _both_halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = tr.stamp(tr.stored_rows(_typed(spark, sf_dir)), F.lit(LOADED_AT))
+    rows = _written(tr.stamp(tr.stored_rows(_typed(spark, sf_dir)), F.lit(LOADED_AT)), "halves")
     hot = rows.select(*[f.name for f in feeds.SLIM], "loaded_at")
     return hot, tr.raw_half(rows)
 
@@ -413,7 +424,7 @@ def committed_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def batch_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _ledger(spark, sf_dir).drop("committed_at", "n_copies")
+    return _ledger_of(_typed(spark, sf_dir)).drop("committed_at", "n_copies")
 
 
 @query
@@ -436,7 +447,7 @@ def state_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = _ledger(spark, sf_dir).withColumn("run_no", (F.col("page_no") % 3).cast("int"))
+    runs = _ledger_of(_typed(spark, sf_dir)).withColumn("run_no", (F.col("page_no") % 3).cast("int"))
     return ledger.run_summary(runs, F.lit(STARTED_AT))
 
 
@@ -444,7 +455,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = feeds.table(spark, sf_dir, "orders")
     feed = (F.col("o_custkey") % 25).alias("feed")
-    pages = orders.groupBy(feed, F.floor(F.col("o_orderkey") / 1000).alias("page_no")).agg(
+    pages = orders.groupBy(feed, F.expr("o_orderkey div 1000").alias("page_no")).agg(
         F.max(F.when(F.col("o_custkey") % 25 != 9, F.col("o_orderdate"))).alias("max_ts")
     )
     # Earlier state: ahead of the data for feed 7, missing for every fifth feed.
@@ -462,7 +473,7 @@ def run_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 def oversized_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = (
         feeds.table(spark, sf_dir, "orders")
-        .groupBy(F.floor(F.col("o_custkey") / 100).alias("page_no"))
+        .groupBy(F.expr("o_custkey div 100").alias("page_no"))
         .agg(F.count("*").alias("n_rows"))
     )
     return paging.oversized(sizes, 1000)
@@ -498,8 +509,8 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def watermark_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mark = ledger.watermark(_ledger(spark, sf_dir)).scalar()
-    return audit.watermark_check(tr.stored_rows(_typed(spark, sf_dir)), mark)
+    log = _written(_typed(spark, sf_dir), "watermark-check")
+    return audit.watermark_check(tr.stored_rows(log), ledger.watermark(_ledger_of(log)).scalar())
 
 
 @query

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from parcelflow.operators import transform as tr
 from parcelflow.operators.layout import write_layout
-from parcelflow.operators.ledger import committed_rows, page_ledger
+from parcelflow.operators.ledger import page_ledger
 from parcelflow.operators.upsert import latest_per_key, latest_wide_rows, replace_rows
 from parcelflow.schema import (
     ARRIVAL,
@@ -55,6 +55,9 @@ _PLACE = (*ARRIVAL, "batch_id")
 # Search columns the compacted table is ordered by unless the caller chooses.
 DEFAULT_LAYOUT = ("StateOrProvince", "City", "MlsStatus")
 
+# Stored bytes that one bucket of the compacted payload table may hold.
+BUCKET_BYTES = 512 << 20
+
 
 def utc_now() -> datetime:
     return datetime.now(timezone.utc)
@@ -115,14 +118,20 @@ class ListingStore:
 
     def ledger(self) -> DataFrame:
         """Pages of committed batches."""
-        return committed_rows(self.read("page_ledger"), self.commits())
+        return self._committed(self.read("page_ledger"))
 
     def committed_log(self, after_batch: int = -1) -> DataFrame:
         """Log rows of committed batches past ``after_batch``."""
-        recent = F.col("batch_id") > after_batch
-        return committed_rows(
-            self.read("change_log").where(recent), self.commits().where(recent)
-        )
+        return self._committed(self.read("change_log")).where(F.col("batch_id") > after_batch)
+
+    def _committed(self, rows: DataFrame) -> DataFrame:
+        """Rows up to the last commit, by a bound on the partition number.
+
+        A failed batch leaves its number to the next attempt, so numbers are
+        dense and only the one past the last commit can be unfinished. The bound
+        selects folders; no row is joined or shuffled.
+        """
+        return rows.where(F.col("batch_id") <= self.commits().agg(F.max("batch_id")).scalar())
 
     def watermark(self, required: bool = True) -> Column:
         return stored_watermark(self.commits(), required)
@@ -230,7 +239,7 @@ class ListingStore:
         )
         # One row, one file: the batch appears whole or not at all.
         summary.coalesce(1).write.mode("overwrite").parquet(self._partition("commits", batch))
-        return self.find_commit(run_key, epoch)
+        return self._read_one("commits", batch).withColumn("batch_id", F.lit(batch)).first()
 
     def _of_run(self, rows: DataFrame, run_key: str) -> DataFrame:
         """Ledger rows of one run, under all the numbers it had."""
@@ -349,6 +358,17 @@ class ListingStore:
             return -1
         return run["last_batch"] if run["done"] else run["first_batch"] - 1
 
+    def _bytes(self, folder: str) -> int:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+    def _buckets(self, previous: Row | None) -> int:
+        """Buckets of the payload table: one per ``BUCKET_BYTES`` of log and last snapshot, at least one per shuffle partition."""
+        held = self._bytes(self.path("change_log"))
+        if previous is not None:
+            held += self._bytes(self._snapshot_path("property_raw", previous["version"]))
+        return max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-held // BUCKET_BYTES))
+
     def compact(
         self, layout: Sequence[str] = DEFAULT_LAYOUT, n_buckets: int | None = None
     ) -> int:
@@ -363,7 +383,7 @@ class ListingStore:
         if through < 0 or (previous is not None and previous["through_batch"] >= through):
             return -1 if previous is None else previous["version"]
         version = 0 if previous is None else previous["version"] + 1
-        buckets = n_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = n_buckets or self._buckets(previous)
 
         write_layout(self.property(), self._snapshot_path("property", version), layout)
         self.spark.sql(f"DROP TABLE IF EXISTS {self._raw_table(version)}")

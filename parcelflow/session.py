@@ -16,11 +16,13 @@ def configure(spark: SparkSession) -> SparkSession:
     All times are UTC. Parquet timestamps are written as microseconds because
     the default INT96 form carries no min/max statistics, so a time filter on
     it can skip no row group. Generated methods above 8000 bytes of bytecode
-    are not compiled by HotSpot, so Spark should split such code instead.
+    are not compiled by HotSpot, so Spark should split such code instead. The steps that type the promoted
+    columns carry up to two hundred of them, more than Spark compiles by default.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.codegen.maxFields", "400")
     return spark
 
 
