@@ -41,7 +41,11 @@ def latest_per_key(
 
 
 def latest_wide_rows(
-    df: DataFrame, key: str = KEY, order: Sequence[str] = ARRIVAL
+    df: DataFrame,
+    key: str = KEY,
+    order: Sequence[str] = ARRIVAL,
+    newest_wins: bool = False,
+    collation: str | None = None,
 ) -> DataFrame:
     """``latest_per_key`` for rows that carry a large payload.
 
@@ -49,7 +53,8 @@ def latest_wide_rows(
     and the place of arrival are ranked; the payload moves once, in a semi
     join on the place, which is unique and so cannot be skewed.
     """
-    places = latest_per_key(df.select(key, *order), key, order).select(*order)
+    narrow = df.select(key, *([MODIFIED] if newest_wins else []), *order)
+    places = latest_per_key(narrow, key, order, newest_wins, collation).select(*order)
     return df.join(places, list(order), "left_semi")
 
 
@@ -68,6 +73,18 @@ def replace_rows(
     return kept.unionByName(winners)
 
 
+def not_older(
+    winners: DataFrame, times: DataFrame, key: str = KEY, collation: str | None = None
+) -> DataFrame:
+    """``winners`` without those older than the time that ``times`` holds for the key.
+
+    A row without a time is older than any; of equal times the winner's counts.
+    """
+    held = times.select(key, F.col(MODIFIED).alias("_held")).alias("b")
+    later = F.col("_held").isNull() | (F.col(f"w.{MODIFIED}") >= F.col("_held"))
+    return winners.alias("w").join(held, _same_key("w", "b", key, collation), "left").where(later).select("w.*")
+
+
 def apply_batch(
     base: DataFrame,
     batch: DataFrame,

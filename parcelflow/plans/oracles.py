@@ -365,4 +365,28 @@ FROM records""",
     "chain_end_load": _EVENT_ROWS.format(price="value")
     + "WHERE event_id // 1000 <= greatest((SELECT max(event_id) // 1000 FROM events) - 1, 0)",
     "stream_pages": _EVENT_ROWS.format(price="value"),
+    "planned_sync": """
+WITH sizes AS (
+  SELECT max(event_id) // 1000 + 1 AS pages, count(*) AS n,
+         count(*) FILTER (event_id // 1000 < (SELECT max(event_id) // 1000 FROM events)) AS n_open,
+         count(*) FILTER (event_id % 3 = 0) AS n_third, count(*) FILTER (event_id % 6 = 0) AS n_moved
+  FROM events
+), runs AS (
+  SELECT 'a' AS run_key, 'full' AS mode, pages AS n_pages, n AS n_rows FROM sizes
+  UNION ALL SELECT 'b', 'full', pages, n FROM sizes WHERE pages = 1
+  UNION ALL SELECT 'c', 'full', pages - 1, n_open FROM sizes WHERE pages > 1
+  UNION ALL SELECT 'd', CASE WHEN pages > 1 THEN 'incremental' ELSE 'full' END, pages,
+                   CASE WHEN pages > 1 THEN n_moved ELSE n_third END FROM sizes
+  UNION ALL SELECT 'e', 'incremental', pages, n_moved FROM sizes
+)
+SELECT run_key, mode, CAST(n_pages AS BIGINT) AS n_pages, CAST(n_rows AS BIGINT) AS n_rows,
+       CAST(n_pages AS BIGINT) AS last_batch_no, CAST(n_rows AS BIGINT) AS cumulative_rows,
+       (SELECT CASE WHEN pages > 1 THEN n_moved ELSE n_third END FROM sizes) AS n_moved
+FROM runs""",
+    "store_options": """
+SELECT 'k' || event_id AS key,
+       CASE WHEN event_id % 6 = 0 THEN 'k' ELSE 'K' END || event_id AS "ListingKey",
+       CASE WHEN event_id % 6 = 0 THEN 'second' ELSE 'first' END AS "MlsStatus",
+       CASE WHEN event_id % 6 = 0 THEN 'second' ELSE 'first' END AS raw_status
+FROM events""",
 }

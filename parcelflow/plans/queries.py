@@ -640,3 +640,82 @@ def stream_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = ListingStore(spark, f"{root}/store")
     sync.full_sync(store, f"{root}/landing", "stream", pages_per_batch=64)
     return store.property(_ROW)
+
+
+def _event_pages(events: DataFrame, key: Column, status: str, ts: Column) -> DataFrame:
+    """Pages of events with a given key, status and time."""
+    page = F.expr(f"event_id div {feeds.PAGE_SIZE}")
+    last = events.agg(F.expr(f"max(event_id) div {feeds.PAGE_SIZE}")).scalar()
+    record = F.struct(
+        key.alias("ListingKey"),
+        F.lit(status).alias("MlsStatus"),
+        feeds.iso_text(ts, F.lit(0)).alias("ModificationTimestamp"),
+    )
+    return pg.pack_pages(
+        events.select(
+            page.alias("page_no"),
+            F.when(page < last, F.concat(F.lit("page/"), (page + 1).cast("string"))).alias("next_link"),
+            (F.col("event_id") % feeds.PAGE_SIZE).cast("int").alias("pos"),
+            F.to_json(record).alias("raw"),
+        )
+    )
+
+
+@query
+def planned_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syncs that follow their plan; totals by run, from the commits and the progress record.
+
+    Run a is stopped and, as long as pages are missing, resumed in place of b.
+    Run c ends on an open link that grows stale, so d pivots: of its rows half
+    are newer than the watermark. Run e reads those at the watermark again.
+    """
+    root = new_work_dir(spark, "planned-sync")
+    events = feeds.table(spark, sf_dir, "events")
+    key = F.col("event_id").cast("string")
+    newest = events.agg(F.max("ts")).scalar()
+    moved = F.when(F.col("event_id") % 2 == 0, feeds.later(newest, F.lit(60))).otherwise(newest)
+    pages = _event_pages(events, key, "as first sent", F.col("ts"))
+    pg.land_pages(pages, f"{root}/first")
+    pg.land_pages(pages.where(F.col("body").contains("@odata.nextLink")), f"{root}/open")
+    third = events.where("event_id % 3 = 0")
+    pg.land_pages(_event_pages(third, key, "moved", moved), f"{root}/later")
+
+    store = ListingStore(spark, f"{root}/store")
+    sync.planned_sync(store, f"{root}/first", "a", pages_per_batch=1, should_stop=lambda: True)
+    sync.planned_sync(store, f"{root}/first", "b")
+    sync.planned_sync(store, f"{root}/open", "c")
+    # The only page of a small feed has no link: then c is empty and d is fresh.
+    sync.planned_sync(store, f"{root}/later", "d", now=datetime(2124, 1, 1))
+    sync.incremental(store, f"{root}/later", "e", inclusive=True)
+    runs = store.commits().groupBy("run_key", "mode").agg(
+        F.sum("n_pages").alias("n_pages"), F.sum("n_rows").alias("n_rows")
+    )
+    steps = store.progress().groupBy("run_key").agg(
+        F.max("batch_no").alias("last_batch_no"), F.max("cumulative_rows").alias("cumulative_rows")
+    )
+    n_moved = store.property(["MlsStatus"]).agg(F.count_if(F.col("MlsStatus") == "moved")).scalar()
+    return runs.join(steps, "run_key").withColumn("n_moved", n_moved)
+
+
+@query
+def store_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys without regard to case, the newest time wins, over a compaction; both halves alike.
+
+    The second run spells every third key in lower case; half of its rows are
+    a day older than what is stored and lose.
+    """
+    store = ListingStore(
+        spark, new_work_dir(spark, "store-options"), collation="UNICODE_CI_AI_RTRIM", newest_wins=True
+    ).create()
+    events = feeds.table(spark, sf_dir, "events")
+    number = F.col("event_id").cast("string")
+    shift = F.when(F.col("event_id") % 2 == 0, 86_400).otherwise(-86_400)
+    store.ingest(_event_pages(events, F.concat(F.lit("K"), number), "first", F.col("ts")), run_key="first")
+    store.compact()
+    again = events.where("event_id % 3 = 0")
+    ts = feeds.later(F.col("ts"), shift)
+    store.ingest(_event_pages(again, F.concat(F.lit("k"), number), "second", ts), run_key="second")
+    key = F.lower("ListingKey").alias("key")
+    status = F.get_json_object("raw_data", "$.MlsStatus").alias("raw_status")
+    hot = store.property(["ListingKey", "MlsStatus"]).select("*", key)
+    return hot.join(store.property_raw().select(key, status), "key", "full")

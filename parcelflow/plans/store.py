@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from parcelflow.operators import transform as tr
 from parcelflow.operators.layout import write_layout
-from parcelflow.operators.ledger import page_ledger
-from parcelflow.operators.upsert import latest_per_key, latest_wide_rows, replace_rows
+from parcelflow.operators.ledger import page_ledger, progress
+from parcelflow.operators.upsert import latest_per_key, latest_wide_rows, not_older, replace_rows
 from parcelflow.schema import (
     ARRIVAL,
     COMMIT_DDL,
@@ -64,9 +64,25 @@ def utc_now() -> datetime:
 
 
 class ListingStore:
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    """A store of listings below one folder.
+
+    ``collation`` says how keys compare (exactly, unless given). With
+    ``newest_wins`` the row with the latest modification time holds a key, and
+    arrival decides only between equal times. Both halves follow both options;
+    a store must be opened with the same ones each time.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        collation: str | None = None,
+        newest_wins: bool = False,
+    ) -> None:
         self.spark = configure(spark)
         self.root = root.rstrip("/")
+        self.collation = collation
+        self.newest_wins = newest_wins
 
     # ---- tables ---------------------------------------------------------
 
@@ -157,6 +173,13 @@ class ListingStore:
             F.coalesce(F.bool_or(of_run & (F.col("epoch") == epoch)), F.lit(False)).alias("done"),
         ).first()
 
+    def progress(self) -> DataFrame:
+        """The progress record of every committed page, run by run."""
+        runs = self.commits().select("batch_id", "run_key", "started_at")
+        return progress(
+            self.ledger().join(runs, "batch_id"), F.col("started_at"), by=["run_key"]
+        )
+
     def find_commit(self, run_key: str, epoch: int) -> Row | None:
         return (
             self.commits()
@@ -170,15 +193,22 @@ class ListingStore:
         loaded_at: datetime,
         since: datetime | None = None,
         quarantine: bool = False,
+        inclusive: bool = False,
     ) -> DataFrame:
-        """Typed and stamped rows of some pages, before any write."""
+        """Typed and stamped rows of some pages, before any write.
+
+        With ``since`` rows changed after it are kept, and with ``inclusive``
+        those changed at that very time too.
+        """
         typed = tr.type_records(open_pages(pages))
         if since is not None:
             # What the feed's own filter would leave out never enters the log.
             # The first row of a page stays as a marker, so the page still counts.
             # A time that cannot be read is a fault to report, not an old row.
             unread = (F.col("outcome") == INVALID) & F.col(MODIFIED).isNull()
-            newer = F.coalesce(F.col(MODIFIED) > F.lit(since), F.lit(False)) | unread
+            bound = F.lit(since)
+            changed = F.col(MODIFIED) >= bound if inclusive else F.col(MODIFIED) > bound
+            newer = F.coalesce(changed, F.lit(False)) | unread
             marker = ~newer & (F.coalesce(F.col("pos"), F.lit(0)) == 0)
             typed = (
                 typed.where(newer | marker)
@@ -198,6 +228,7 @@ class ListingStore:
         since: datetime | None = None,
         quarantine: bool = False,
         started_at: datetime | None = None,
+        inclusive: bool = False,
     ) -> Row:
         """Write one batch of pages and commit it; repeating a call is harmless.
 
@@ -209,7 +240,7 @@ class ListingStore:
             return self.find_commit(run_key, epoch)
         batch, run_no = place["batch"], place["run_no"]
         loaded_at = utc_now()
-        rows = self.prepare(self._in_chain(pages, run_key), loaded_at, since, quarantine)
+        rows = self.prepare(self._in_chain(pages, run_key), loaded_at, since, quarantine, inclusive)
         rows.withColumn("run_no", F.lit(run_no)).select(
             *T.StructType.fromDDL(_DDL["change_log"]).names
         ).write.mode("overwrite").parquet(self._partition("change_log", batch))
@@ -261,19 +292,26 @@ class ListingStore:
     def _recent(self, snapshot: Row | None, columns: Sequence[str]) -> DataFrame:
         """Stored rows of batches not yet compacted."""
         after = -1 if snapshot is None else snapshot["through_batch"]
-        narrow = list(dict.fromkeys([KEY, *columns, *_PLACE]))
+        time = [MODIFIED] if self.newest_wins else []
+        narrow = list(dict.fromkeys([KEY, *columns, *time, *_PLACE]))
         return self.committed_log(after).where(F.col("outcome") == STORED).select(*narrow)
 
     def property(self, columns: Sequence[str] = HOT_COLUMNS) -> DataFrame:
         """The search table: the last stored row of every key."""
         snapshot = self._snapshot()
-        winners = latest_per_key(self._recent(snapshot, columns), order=_PLACE)
+        recent = self._recent(snapshot, columns)
+        winners = latest_per_key(
+            recent, order=_PLACE, newest_wins=self.newest_wins, collation=self.collation
+        )
         return self._over_snapshot(snapshot, "property", winners, columns)
 
     def property_raw(self) -> DataFrame:
         """The payload table, one row per key."""
         snapshot = self._snapshot()
-        winners = latest_wide_rows(self._recent(snapshot, RAW_COLUMNS), order=_PLACE)
+        recent = self._recent(snapshot, RAW_COLUMNS)
+        winners = latest_wide_rows(
+            recent, order=_PLACE, newest_wins=self.newest_wins, collation=self.collation
+        )
         return self._over_snapshot(snapshot, "property_raw", winners, RAW_COLUMNS)
 
     def _over_snapshot(
@@ -281,12 +319,18 @@ class ListingStore:
     ) -> DataFrame:
         """Recent rows in place of the snapshot's rows of the same keys.
 
-        Runs are folded whole, so a recent row is always later.
+        Runs are folded whole, so a recent row always arrived later. Where the
+        newest wins, the search half of the snapshot has the times to compare.
         """
         if snapshot is None:
             return winners.select(*columns)
         base = self._snapshot_table(table, snapshot)
-        return replace_rows(base.select(*columns), winners.select(*columns))
+        if self.newest_wins:
+            times = self._snapshot_table("property", snapshot)
+            winners = not_older(winners, times, collation=self.collation)
+        return replace_rows(
+            base.select(*columns), winners.select(*columns), collation=self.collation
+        )
 
     def skipped(self) -> DataFrame:
         """Records dropped for want of a key, with what identifies them."""

@@ -45,6 +45,7 @@ def run_pages(
     pages_per_batch: int = 1024,
     quarantine: bool = False,
     should_stop: Callable[[], bool] = lambda: False,
+    inclusive: bool = False,
 ) -> RunResult:
     """Load every landed page not yet loaded by this run, then stop.
 
@@ -62,7 +63,7 @@ def run_pages(
         nonlocal halted
         if halted:
             raise RuntimeError(_STOP)
-        store.ingest(pages, run_key, epoch, mode, since, quarantine, started)
+        store.ingest(pages, run_key, epoch, mode, since, quarantine, started, inclusive)
         halted = should_stop()
 
     query = (
@@ -88,6 +89,7 @@ def full_sync(store: ListingStore, landing: str, run_key: str, **options) -> Run
 def incremental(store: ListingStore, landing: str, run_key: str, **options) -> RunResult:
     """Load what changed strictly after the stored watermark.
 
+    ``inclusive=True`` reads what changed at the watermark itself again.
     The bound of a run is fixed when the run starts: a continued run keeps
     the watermark that was in force before its first batch.
     """
@@ -141,6 +143,32 @@ def observe_rows(typed: DataFrame) -> tuple[Observation, DataFrame]:
     )
 
 
+def planned_sync(
+    store: ListingStore,
+    landing: str,
+    run_key: str,
+    now: datetime | None = None,
+    **options,
+) -> RunResult:
+    """A full sync that does what ``plan_full_sync`` says.
+
+    ``fresh`` loads the feed as ``run_key``; ``resume`` goes on with the
+    unfinished run under its own name; ``pivot`` leaves that run as it is and
+    loads what changed after the watermark as ``run_key``, which must be a new
+    name. With nothing to pivot from it stops.
+    """
+    plan = plan_full_sync(store.create(), now)
+    if plan == "error":
+        raise RuntimeError("the saved link is stale and there is no watermark to pivot to")
+    if plan == "resume":
+        return full_sync(store, landing, store.last_run()["run_key"], **options)
+    if plan == "fresh":
+        return full_sync(store, landing, run_key, **options)
+    if store.commits().where(F.col("run_key") == run_key).first() is not None:
+        raise ValueError(f"run {run_key!r} is the one to pivot from: give a new name")
+    return incremental(store, landing, run_key, **options)
+
+
 def plan_full_sync(store: ListingStore, now: datetime | None = None) -> str:
     """``resume``, ``pivot``, ``error`` or ``fresh``, from the latest run."""
     run = store.last_run()

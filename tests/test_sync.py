@@ -285,3 +285,17 @@ def test_pages_past_the_end_of_the_chain_are_not_loaded(spark, store):
     # A page that comes later finds the end in the ledger.
     store.ingest(spark.createDataFrame([(3, json.dumps(bodies[2]))], "page_no bigint, body string"), "full", epoch=9)
     assert sorted(prices(store)) == [key(1), key(2)]
+
+
+def test_a_stale_run_is_not_its_own_pivot(spark, store):
+    landing = land(spark, [[record(1, 1)], [record(2, 2)]], closed=False)
+    sync.full_sync(store, landing, "stuck")
+    with pytest.raises(ValueError, match="new name"):
+        sync.planned_sync(store, landing, "stuck", now=dt.datetime(2124, 1, 1))
+
+
+def test_the_log_is_bounded_without_a_join(spark, store):
+    sync.full_sync(store, land(spark, [[record(1, 1)], [record(2, 2)]]), "plain", pages_per_batch=1)
+    plan = store.committed_log()._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "PartitionFilters" in plan
+    assert store.progress().where("batch_no = 2").first()["cumulative_rows"] == 2
