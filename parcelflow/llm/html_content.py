@@ -1,9 +1,9 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
 The trees of a host's pages are aligned by simple tree matching and merged into
-one template. Nodes that hold the same text on all pages are the site's frame;
-slots whose text varies are content. Marked-up menus, adverts and the like are
-no content on any page.
+one template. Elements that hold the same text on nearly all pages are the site's
+frame, inside a marked article too; slots whose text varies are content. Marked-up
+menus, adverts and the like are no content on any page.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ PAGES, SHARE = 3, 0.9
 DEALT = 64
 #: Templates that a task holds before it passes them on.
 HELD = 2000
+#: Texts that a template node counts; rarer ones make room, and counts are then lower bounds.
+COUNTS = 128
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -123,8 +125,8 @@ def squeezed(text: str) -> str:
     return " ".join(text.split())
 
 
-# A template node is [name, pages, text hash or None where texts differ, children].
-# Neighbours of one name count as one repeated node.
+# A template node is [name, pages, pages by text hash, children, most that a count may fall short by].
+# Neighbours of one name count as one repeated node, each with its own text.
 
 
 def shape(node: Node, sources: dict[int, list[Node]] | None = None) -> list:
@@ -134,24 +136,41 @@ def shape(node: Node, sources: dict[int, list[Node]] | None = None) -> list:
 
 def _shape(nodes: list[Node], sources: dict[int, list[Node]] | None) -> list:
     runs: list[list[Node]] = []
-    texts: list[str] = []
+    texts: dict[str, int] = {}
     for node in nodes:
-        for child in node.children:
-            if isinstance(child, str):
-                texts.append(child)
-            elif child.tag in _INLINE:
-                texts.append(_text(child))
-            elif child.tag not in ("script", "style"):
-                if runs and runs[-1][0].name == child.name:
-                    runs[-1].append(child)
-                else:
-                    runs.append([child])
-    made = [nodes[0].name, 1, zlib.crc32(squeezed(" ".join(texts)).encode("utf-8", "replace")), [_shape(run, sources) for run in runs]]
+        if own := _own_text(node):
+            texts[own] = 1
+        for child in _parts(node):
+            if runs and runs[-1][0].name == child.name:
+                runs[-1].append(child)
+            else:
+                runs.append([child])
+    made = _bounded([nodes[0].name, 1, texts, [_shape(run, sources) for run in runs], 0])
     if sources is not None:
         sources[id(made)] = nodes
     return made
 
 
+def _parts(node: Node) -> list[Node]:
+    """Child elements that are template nodes of their own."""
+    return [c for c in node.children if not isinstance(c, str) and c.tag not in _INLINE and c.tag not in ("script", "style")]
+
+
+def _own_text(node: Node) -> str:
+    """Hash of the text outside the parts; empty if there is none."""
+    text = squeezed(" ".join(c if isinstance(c, str) else _text(c) for c in node.children if isinstance(c, str) or c.tag in _INLINE))
+    return f"{zlib.crc32(text.encode('utf-8', 'replace')):x}" if text else ""
+
+
+def _bounded(node: list) -> list:
+    """Take the count of the first text too many from all: counts of disjoint sets of pages still add up to lower bounds."""
+    if len(node[2]) > COUNTS:
+        less = sorted(node[2].values(), reverse=True)[COUNTS]
+        node[2] = {text: n - less for text, n in node[2].items() if n > less}
+        node[4] += less
+    return node
+
+
 def _text(node: Node) -> str:
     return " " if node.tag == "br" else "".join(c if isinstance(c, str) else _text(c) for c in node.children)
 
@@ -190,36 +209,66 @@ def pairs(left: list, right: list) -> list[tuple[list | None, list | None]]:
 def merged(a: list, b: list) -> list:
     """The template of the pages of two templates with the same root."""
     children = [merged(x, y) if x and y else x or y for x, y in pairs(a[3], b[3])]
-    return [a[0], a[1] + b[1], a[2] if a[2] == b[2] else None, children]
+    texts = a[2] | {text: n + a[2].get(text, 0) for text, n in b[2].items()}
+    return _bounded([a[0], a[1] + b[1], texts, children, a[4] + b[4]])
 
 
-def _varies(node: list) -> bool:
-    return node[2] is None or any(map(_varies, node[3]))
+def _varies(node: list, pages: int) -> bool:
+    return node[4] > 0 or any(n < pages for n in node[2].values()) or any(_varies(child, pages) for child in node[3])
 
 
-def _frame_nodes(page: list, template: list, pages: int, sources: dict[int, list[Node]], out: set[int]) -> None:
-    """Elements of the page that the template has with the same text, and nothing varying below, on nearly all pages."""
-    for own, known in pairs(page[3], template[3]):
-        if own and known:
-            if known[1] >= SHARE * pages and not _varies(known):
-                out.update(map(id, sources[id(own)]))
-            else:
-                _frame_nodes(own, known, pages, sources, out)
+def usable(template: list) -> list | None:
+    """The template with the texts of nearly all its pages only; none for few pages, or equal ones."""
+
+    def common(node: list) -> list:
+        texts = {text: n for text, n in node[2].items() if n >= SHARE * template[1]}
+        return [node[0], node[1], texts, [common(child) for child in node[3]], node[4] + (len(texts) < len(node[2]))]
+
+    return common(template) if template[1] >= PAGES and _varies(template, template[1]) else None
+
+
+def _frame_nodes(root: Node, template: list) -> set[int]:
+    """Elements of the page whose texts, and those of all parts, the template has there on nearly all pages."""
+    sources: dict[int, list[Node]] = {}
+    known: dict[int, list] = {}
+    todo = [(shape(root, sources), template)]
+    while todo:
+        own, node = todo.pop()
+        known.update((id(element), node) for element in sources[id(own)])
+        todo += [(x, y) for x, y in pairs(own[3], node[3]) if x and y]
+    frame: set[int] = set()
+    order = [root]
+    for node in order:
+        order += _parts(node)
+    for node in reversed(order):
+        own = _own_text(node)
+        if id(node) in known and (not own or known[id(node)][2].get(own, 0) >= SHARE * template[1]) and all(id(part) in frame for part in _parts(node)):
+            frame.add(id(node))
+    return frame
 
 
 def main_text(html: str, template: list | None) -> str:
-    """Blocks of the main text, one per line."""
+    """Blocks of the main text, one per line.
+
+    The regions marked as article or main are the main text if they hold half of
+    the text that is no frame, else the whole page is. Text that the template calls
+    frame is left out, but for regions of which it is most: these are copies.
+    """
     root = parse(html)
+    known = usable(template) if template else None
+    frame = _frame_nodes(root, known) if known else set()
+    page = _blocks([root], frame, whole=True)
     regions = _regions(root)
-    frame: set[int] = set()
-    if not regions:
-        regions = [root]
-        if template and template[1] >= PAGES and _varies(template):
-            sources: dict[int, list[Node]] = {}
-            _frame_nodes(shape(root, sources), template, template[1], sources, frame)
+    marked, plain = _blocks(regions, frame), _blocks(regions, set())
+    if 2 * len(marked) < len(plain):
+        marked = plain
+    return marked if regions and 2 * len(marked) >= len(page) else page
+
+
+def _blocks(regions: list[Node], frame: set[int], whole: bool = False) -> str:
     blocks: list[str] = []
     for region in regions:
-        _collect(region, frame, blocks, whole=region is root)
+        _collect(region, frame, blocks, whole)
     return "\n".join(blocks)
 
 
@@ -319,17 +368,24 @@ def templates(pages: DataFrame) -> DataFrame:
         if host is not None:
             yield _rows({host: made})
 
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in range(batch.num_rows):
+                host, template = (c[one].as_py() for c in batch.columns)
+                if made := usable(json.loads(template)):
+                    yield _rows({host: made})
+
     first = pages.where("host is not null").select("host", "html").mapInArrow(induce, _TEMPLATE).withColumn("_deal", F.pmod(F.xxhash64("template"), F.lit(DEALT)))
     second = first.repartition("host", "_deal").sortWithinPartitions("host", "template").select("host", "template").mapInArrow(meet, _TEMPLATE)
-    return second.repartition("host").sortWithinPartitions("host", "template").mapInArrow(meet, _TEMPLATE)
+    return second.repartition("host").sortWithinPartitions("host", "template").mapInArrow(meet, _TEMPLATE).mapInArrow(keep, _TEMPLATE)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages``.
 
-    Where a page marks its article or main part, its text is that part without
-    what is marked as something else; elsewhere it is what the host's template
-    leaves over. Null and empty html give an empty text; pages without a host, or
+    A page's text is its article or main part, or the whole page where that part
+    holds less than half of the text, without what is marked as something else and
+    without what the host's template finds on nearly all pages. Null and empty html give an empty text; pages without a host, or
     of hosts with fewer than ``PAGES`` pages or with equal pages only, have no
     template, and empty pages count for none. Repeated rows are extracted each and
     count as pages each. Other columns are not read.

@@ -164,3 +164,26 @@ def test_pipeline_stages_keep_columns_and_repeat_the_operators(spark):
 def test_folds(spark):
     rows = spark.createDataFrame([(k,) for k in [*range(50), None]], "doc_id long").select("doc_id", fold(7).alias("f")).collect()
     assert all(r.f == (crc(r.doc_id, 7) if r.doc_id is not None else 0) for r in rows)
+
+
+def induced(pages):
+    template = shape(parse(pages[0]))
+    for page in pages[1:]:
+        template = merged(template, shape(parse(page)))
+    return template
+
+
+def test_constant_boxes_inside_an_article_are_frame():
+    page = "<article><h1>Title {0}</h1><p>First of {0}<p>Second of {0}<p>Sign up today</p><div><b>Our</b> offer</div><p>Last of {0}</article>".format
+    pages = [page(k) for k in range(40)]
+    odd = page(41).replace("<b>Our</b> offer", "A part of this page alone")
+    template = induced([*pages, odd])
+    assert main_text(page(3), template) == "Title 3\nFirst of 3\nSecond of 3\nLast of 3"
+    assert main_text(odd, template).split("\n")[-2:] == ["A part of this page alone", "Last of 41"]
+    copies = induced([*["<article><p>The same long text everywhere</p></article>"] * 30, "<article><p>Another</p></article>"])
+    assert main_text("<article><p>The same long text everywhere</p></article>", copies) == "The same long text everywhere"
+
+
+def test_a_small_article_does_not_hide_the_main_text():
+    text = "Long main text of the page, in a box of its own. " * 5
+    assert text.strip() in main_text(f"<div><p>{text}</p></div><article>Teaser</article>", None)
