@@ -42,23 +42,28 @@ _ENDS_P = frozenset("address article aside blockquote details div dl fieldset fi
 #: Elements that are never main text.
 _FRAME_TAGS = frozenset("head title style script noscript template nav footer aside form button select textarea input iframe object svg canvas dialog menu datalist".split())
 _FRAME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Words of class and id that name parts other than main text.
-_FRAME_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert newsletter subscribe subscription signup "
-    "sidebar aside menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar comment comments commentlist disqus reply replies respond discussion share sharing social "
-    "related recommended recommendations widget widgets popup modal overlay pagination pager login search copyright skip".split()
+#: Whole classes and ids that name parts other than main text.
+_FRAME_CLASSES = frozenset(
+    "ad ads advert adverts advertisement advertising cookie cookies cookie-banner cookie-consent cookie-notice gdpr newsletter sidebar nav navbar navigation breadcrumb breadcrumbs "
+    "footer site-footer page-footer masthead topbar toolbar comments commentlist comment-list disqus disqus_thread popup modal pagination pager skip-link".split()
 )
-_HEADER_WORDS = frozenset(("header", "site-header", "page-header"))
+#: Those that may as well name a topic: such an element is frame if its text is mostly links, or by the host's template.
+_LINK_CLASSES = frozenset(
+    "sponsor sponsored promo promotion banner consent notice notices alert subscribe subscription signup aside menu comment reply replies respond discussion share sharing social "
+    "related recommended recommendations widget widgets overlay login search copyright skip related-posts related-articles share-buttons social-links".split()
+)
+_HEADER_CLASSES = frozenset(("header", "site-header", "page-header"))
+_NEVER_BY_CLASS = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    """An element: its tag, a name to match it by, its children and the texts among them."""
+    """An element: its tag, a name to match it by, its classes and id, its children and the texts among them."""
 
-    __slots__ = ("tag", "name", "frame", "children")
+    __slots__ = ("tag", "name", "frame", "classes", "children")
 
-    def __init__(self, tag: str, name: str, frame: bool):
-        self.tag, self.name, self.frame = tag, name, frame
+    def __init__(self, tag: str, name: str, frame: bool, classes: tuple[str, ...] = ()):
+        self.tag, self.name, self.frame, self.classes = tag, name, frame, classes
         self.children: list[Node | str] = []
 
 
@@ -84,9 +89,11 @@ class _Builder(HTMLParser):
             tag in _FRAME_TAGS
             or (tag == "header" and not in_article)
             or (given.get("role") or "").lower() in _FRAME_ROLES
-            or (tag not in ("html", "body", "main") and any(w in _FRAME_WORDS or (w in _HEADER_WORDS and not in_article and tag[0] != "h") for w in words))
         )
-        node = Node(tag, ".".join([tag, *(w for w in words if not w.isdigit())]), frame)
+        classes = () if frame or not words or tag in _NEVER_BY_CLASS else tuple(f"{given.get('class') or ''} {given.get('id') or ''}".lower().split())
+        if in_article:
+            classes = tuple(c for c in classes if c not in _HEADER_CLASSES)
+        node = Node(tag, ".".join([tag, *(w for w in words if not w.isdigit())]), frame, classes)
         self._open[-1].children.append(node)
         if tag not in _VOID:
             self._open.append(node)
@@ -118,9 +125,33 @@ def parse(html: str) -> Node:
     builder = _Builder()
     builder.feed(html)
     builder.close()
+    _settle(builder.root)
     return builder.root
 
 
+def _settle(root: Node) -> None:
+    """Make frame what classes name as such: no element that holds an article or main, nor, where none is marked, most of the text."""
+    order = [root]
+    for node in order:
+        if not node.frame:
+            order += [c for c in node.children if not isinstance(c, str)]
+    if not any(node.classes for node in order):
+        return
+    size: dict[int, int] = {}
+    links: dict[int, int] = {}
+    regions: set[int] = set()
+    for node in reversed(order):
+        inside = [c for c in node.children if not isinstance(c, str) and not node.frame]
+        size[id(node)] = 0 if node.frame else sum(len(squeezed(c)) for c in node.children if isinstance(c, str)) + sum(size[id(c)] for c in inside)
+        links[id(node)] = size[id(node)] if node.tag == "a" else sum(links[id(c)] for c in inside)
+        if not node.frame and (node.tag in ("article", "main") or any(id(c) in regions for c in inside)):
+            regions.add(id(node))
+    for node in order:
+        named = any(c in _FRAME_CLASSES or c in _HEADER_CLASSES for c in node.classes)
+        linked = not named and 2 * links[id(node)] > size[id(node)] and any(c in _LINK_CLASSES for c in node.classes)
+        node.frame = node.frame or ((named or linked) and id(node) not in regions and (id(root) in regions or 2 * size[id(node)] <= size[id(root)]))
+
+
 def squeezed(text: str) -> str:
     return " ".join(text.split())
 

@@ -187,3 +187,13 @@ def test_constant_boxes_inside_an_article_are_frame():
 def test_a_small_article_does_not_hide_the_main_text():
     text = "Long main text of the page, in a box of its own. " * 5
     assert text.strip() in main_text(f"<div><p>{text}</p></div><article>Teaser</article>", None)
+
+
+def test_class_words_alone_drop_no_main_text():
+    text = "<h2 id=related-work>Related work</h2><section id=discussion><p>We discuss</section><p id=notice-period>Three months"
+    want = "Related work\nWe discuss\nThree months"
+    assert main_text(f'<article class="post category-social comments-open">{text}</article>', None) == want
+    assert main_text(f'<div class="layout no-sidebar sidebar"><article>{text}</article></div>', None) == want
+    assert main_text(f'<div class="widget comments">{text}</div><p>x', None).startswith(want)
+    more = '<div class="Ad x">Buy</div><div class=related>See <a href=1>The first</a> <a href=2>The second</a></div><div id=comments>no</div>'
+    assert main_text(f"<article>{text}</p>{more}</article>", None) == want
