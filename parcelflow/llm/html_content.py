@@ -29,6 +29,8 @@ DEALT = 64
 HELD = 2000
 #: Texts that a template node counts; rarer ones make room, and counts are then lower bounds.
 COUNTS = 128
+#: Levels of a template; all text below the last is text of its element. Extraction itself has no limit.
+LEVELS = 100
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -60,10 +62,11 @@ _WORDS = re.compile(r"[a-z0-9]+")
 class Node:
     """An element: its tag, a name to match it by, its classes and id, its children and the texts among them."""
 
-    __slots__ = ("tag", "name", "frame", "classes", "children")
+    __slots__ = ("tag", "name", "frame", "classes", "in_article", "children")
 
     def __init__(self, tag: str, name: str, frame: bool, classes: tuple[str, ...] = ()):
         self.tag, self.name, self.frame, self.classes = tag, name, frame, classes
+        self.in_article = False  # or an article itself
         self.children: list[Node | str] = []
 
 
@@ -84,7 +87,7 @@ class _Builder(HTMLParser):
             self._close(*_CLOSES[tag])
         given = dict(attrs)
         words = [*_words(given.get("class")), *_words(given.get("id"))]
-        in_article = any(n.tag in ("article", "main") for n in self._open)
+        in_article = self._open[-1].in_article
         frame = (
             tag in _FRAME_TAGS
             or (tag == "header" and not in_article)
@@ -94,6 +97,7 @@ class _Builder(HTMLParser):
         if in_article:
             classes = tuple(c for c in classes if c not in _HEADER_CLASSES)
         node = Node(tag, ".".join([tag, *(w for w in words if not w.isdigit())]), frame, classes)
+        node.in_article = in_article or tag in ("article", "main")
         self._open[-1].children.append(node)
         if tag not in _VOID:
             self._open.append(node)
@@ -162,21 +166,21 @@ def squeezed(text: str) -> str:
 
 def shape(node: Node, sources: dict[int, list[Node]] | None = None) -> list:
     """The page as a template of one page; ``sources`` gets the elements behind each template node."""
-    return _shape([node], sources)
+    return _shape([node], sources, LEVELS)
 
 
-def _shape(nodes: list[Node], sources: dict[int, list[Node]] | None) -> list:
+def _shape(nodes: list[Node], sources: dict[int, list[Node]] | None, levels: int) -> list:
     runs: list[list[Node]] = []
     texts: dict[str, int] = {}
     for node in nodes:
-        if own := _own_text(node):
+        if own := _own_text(node) if levels else _hashed(_text(node)):
             texts[own] = 1
-        for child in _parts(node):
+        for child in _parts(node) if levels else ():
             if runs and runs[-1][0].name == child.name:
                 runs[-1].append(child)
             else:
                 runs.append([child])
-    made = _bounded([nodes[0].name, 1, texts, [_shape(run, sources) for run in runs], 0])
+    made = _bounded([nodes[0].name, 1, texts, [_shape(run, sources, levels - 1) for run in runs], 0])
     if sources is not None:
         sources[id(made)] = nodes
     return made
@@ -189,7 +193,11 @@ def _parts(node: Node) -> list[Node]:
 
 def _own_text(node: Node) -> str:
     """Hash of the text outside the parts; empty if there is none."""
-    text = squeezed(" ".join(c if isinstance(c, str) else _text(c) for c in node.children if isinstance(c, str) or c.tag in _INLINE))
+    return _hashed(" ".join(c if isinstance(c, str) else _text(c) for c in node.children if isinstance(c, str) or c.tag in _INLINE))
+
+
+def _hashed(text: str) -> str:
+    text = squeezed(text)
     return f"{zlib.crc32(text.encode('utf-8', 'replace')):x}" if text else ""
 
 
@@ -203,7 +211,17 @@ def _bounded(node: list) -> list:
 
 
 def _text(node: Node) -> str:
-    return " " if node.tag == "br" else "".join(c if isinstance(c, str) else _text(c) for c in node.children)
+    out: list[str] = []
+    todo: list[Node | str] = [node]
+    while todo:
+        child = todo.pop()
+        if isinstance(child, str):
+            out.append(child)
+        elif child.tag == "br":
+            out.append(" ")
+        else:
+            todo += reversed(child.children)
+    return "".join(out)
 
 
 def _matched(a: list, b: list) -> int:
@@ -261,20 +279,18 @@ def usable(template: list) -> list | None:
 def _frame_nodes(root: Node, template: list) -> set[int]:
     """Elements of the page whose texts, and those of all parts, the template has there on nearly all pages."""
     sources: dict[int, list[Node]] = {}
-    known: dict[int, list] = {}
-    todo = [(shape(root, sources), template)]
+    own = shape(root, sources)
+    met: list[tuple[Node, list | None, bool]] = []
+    todo: list[tuple[list, list | None, int]] = [(own, template, LEVELS)]
     while todo:
-        own, node = todo.pop()
-        known.update((id(element), node) for element in sources[id(own)])
-        todo += [(x, y) for x, y in pairs(own[3], node[3]) if x and y]
+        own, node, levels = todo.pop()
+        met += [(element, node, levels > 0) for element in sources[id(own)]]
+        todo += [(x, y, levels - 1) for x, y in (pairs(own[3], node[3]) if node else zip(own[3], [None] * len(own[3]), strict=True)) if x]
     frame: set[int] = set()
-    order = [root]
-    for node in order:
-        order += _parts(node)
-    for node in reversed(order):
-        own = _own_text(node)
-        if id(node) in known and (not own or known[id(node)][2].get(own, 0) >= SHARE * template[1]) and all(id(part) in frame for part in _parts(node)):
-            frame.add(id(node))
+    for element, node, above in reversed(met):  # parts come before what holds them
+        text = _own_text(element) if above else _hashed(_text(element))
+        if node and (not text or node[2].get(text, 0) >= SHARE * template[1]) and not (above and any(id(part) not in frame for part in _parts(element))):
+            frame.add(id(element))
     return frame
 
 
@@ -303,56 +319,60 @@ def _blocks(regions: list[Node], frame: set[int], whole: bool = False) -> str:
     return "\n".join(blocks)
 
 
-def _regions(node: Node) -> list[Node]:
+def _regions(root: Node) -> list[Node]:
     """The outermost article and main elements that are not frame."""
     found = []
-    for child in node.children:
-        if isinstance(child, Node) and not child.frame:
-            found += [child] if child.tag in ("article", "main") else _regions(child)
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node is not root and node.tag in ("article", "main"):
+            found.append(node)
+        else:
+            todo += [c for c in reversed(node.children) if isinstance(c, Node) and not c.frame]
     return found
 
 
-def _is_menu(node: Node) -> bool:
-    """A list or box of three links or more with no text beside them."""
-    links = beside = 0
-    todo = [node]
-    while todo:
-        for child in todo.pop().children:
-            if isinstance(child, str):
-                beside += not child.isspace()
-            elif child.tag == "a":
-                links += 1
-            else:
-                todo.append(child)
-    return links >= 3 and not beside
+def _menus(root: Node) -> set[int]:
+    """Lists and boxes of three links or more with no text beside them."""
+    order = [root]
+    for node in order:
+        order += [c for c in node.children if isinstance(c, Node) and c.tag != "a"]
+    links: dict[int, int] = {}
+    beside: set[int] = set()
+    for node in reversed(order):
+        links[id(node)] = sum(1 if c.tag == "a" else links[id(c)] for c in node.children if isinstance(c, Node))
+        if any(not c.isspace() if isinstance(c, str) else id(c) in beside for c in node.children):
+            beside.add(id(node))
+    return {id(n) for n in order if n.tag in ("ul", "ol", "div", "table", "p") and links[id(n)] >= 3 and id(n) not in beside}
 
 
-def _collect(node: Node, frame: set[int], blocks: list[str], whole: bool) -> None:
+def _collect(root: Node, frame: set[int], blocks: list[str], whole: bool) -> None:
     line: list[str] = []
+    menus = _menus(root) if whole else ()
 
     def end() -> None:
         if text := squeezed("".join(line)):
             blocks.append(text)
         line.clear()
 
-    def walk(node: Node) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                line.append(child)
-            elif child.tag == "br":
-                line.append(" ")
-            elif child.frame or id(child) in frame or (whole and child.tag in ("ul", "ol", "div", "table", "p") and _is_menu(child)):
-                if child.tag not in _INLINE:
-                    end()
-            elif child.tag in _INLINE:
-                walk(child)
-            else:
-                end()
-                walk(child)
+    todo: list[Node | str | None] = [None, *reversed(root.children)]
+    while todo:
+        child = todo.pop()
+        if child is None:  # the end of a block
+            end()
+        elif isinstance(child, str):
+            line.append(child)
+        elif child.tag == "br":
+            line.append(" ")
+        elif child.frame or id(child) in frame or id(child) in menus:
+            if child.tag not in _INLINE:
                 end()
-
-    walk(node)
-    end()
+        elif child.tag in _INLINE:
+            todo += reversed(child.children)
+        else:
+            end()
+            todo.append(None)
+            todo += reversed(child.children)
 
 
 def host_of(url: str) -> Column:

@@ -197,3 +197,11 @@ def test_class_words_alone_drop_no_main_text():
     assert main_text(f'<div class="widget comments">{text}</div><p>x', None).startswith(want)
     more = '<div class="Ad x">Buy</div><div class=related>See <a href=1>The first</a> <a href=2>The second</a></div><div id=comments>no</div>'
     assert main_text(f"<article>{text}</p>{more}</article>", None) == want
+
+
+def test_deep_nesting_is_read_whole(spark):
+    deep = ["".join(f"<{tag}>{k} " for k in range(5000)) for tag in ("font", "div", "section", "b><div")]
+    pages = [(k, "http://deep.org/", f"<p>{k}</p><div>Constant</div>{d}{k}") for k, d in enumerate(deep * 2)] + [(9, "http://deep.org/9", "<p>One</p><div>Constant</div>")]
+    got = {r.page_id: r.text.split() for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[k][1:-1] == [str(n) for n in range(5000)] and got[k][-1] == str(k) for k in range(8)), {k: got[k][:5] for k in range(8)}
+    assert got[9] == ["One"]
