@@ -123,14 +123,17 @@ def _joined_where_unsafe(parts: list[str]) -> Iterator[str]:
 _PUNCTUATION = re.compile(r"(?<=[A-Za-z\u00df-\u00f6\u00f8-\u00ff])[.,;:!?*#$%&()|]+(?=[\s]|\Z)")
 
 
-def _words_apart(text: str) -> str:
-    """For a vocabulary that knows neither white space nor case: set words and punctuation apart."""
+def _words_apart(text: str, specials: tuple[str, ...] = ()) -> str:
+    """For a vocabulary that knows neither white space nor case, but in its special strings: set words and punctuation apart."""
     text = text.replace("\n", " ")
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
         return text
-    return _PUNCTUATION.sub(r" \g<0>", text.lower())
+    folded = text.lower()
+    if any(folded.count(s) != text.count(s) for s in specials):
+        return text
+    return _PUNCTUATION.sub(r" \g<0>", folded)
 
 
 @lru_cache(maxsize=4)
@@ -162,7 +165,8 @@ def id_encoder(path: str, kind: str) -> PieceEncoder:
         return out
 
     if kind == "word":
-        return PieceEncoder(runs, pieces, b"".join, open_up=_words_apart)
+        specials = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+        return PieceEncoder(runs, pieces, b"".join, open_up=lambda t: _words_apart(t, specials))
     return PieceEncoder(runs, pieces, b"".join, lead=True, open_up=lambda t: t.replace("\n", " \n"), close_up=lambda t: t.replace(" \n", "\n"))
 
 

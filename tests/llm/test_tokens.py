@@ -45,6 +45,13 @@ def test_pieces_give_the_tokens_of_the_whole_text(words, span):
         pieces.SPAN = kept
 
 
+def test_special_strings_keep_their_case():
+    for text in ("see <|EndOfText|> now", "<|ENDOFTEXT|>", "A <|StartOfText|> b <|endoftext|>, C!!", "É<|endOfText|>.", "Go <|endoftext|> on"):
+        for path, kind in ((BYTE, "byte"), (WORD, "word")):
+            (ids,) = pieces.id_encoder(path, kind).encode([text])
+            assert np.frombuffer(ids, "<u4").tolist() == plain_ids(path, text)
+
+
 def test_a_full_cache_changes_no_token(monkeypatch):
     monkeypatch.setattr(pieces, "CACHED", 6)
     encoder = pieces.id_encoder.__wrapped__(BYTE, "byte")
