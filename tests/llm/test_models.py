@@ -43,6 +43,16 @@ def test_quality_of_odd_rows(spark):
     assert quality.with_scores(none, model, "s").collect() == []
 
 
+def test_quality_that_shows_in_the_wording_only(spark):
+    rng = np.random.default_rng(1)
+    words = [[a + b + c for a in first for b in "aeiou" for c in "lmnr"] for first in ("bdfg", "kpst")]
+    texts = [" ".join(rng.choice(words[k % 2], 30)) + "." for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, quality int")
+    scored = quality.with_scores(docs, quality.fit(docs.where("doc_id < 200"), labels), "s").where("doc_id >= 200").collect()
+    assert np.mean([(r.s >= 0.5) == r.doc_id % 2 for r in scored]) > 0.95
+
+
 def test_languages_of_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in given(spark, "documents", sf).collect()}
