@@ -39,19 +39,19 @@ def codes(values: np.ndarray) -> np.ndarray:
         return np.clip(np.floor(values.astype(np.float64) * 1024), -np.finfo(np.float64).max, np.finfo(np.float64).max)
 
 
-def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Inner products of one coded vector with others, in whole numbers.
+def products(x: np.ndarray, y: np.ndarray, most: float) -> np.ndarray:
+    """Inner products of one coded vector with others, whose components are ``most`` at most, in whole numbers.
 
     Doubles where these hold every partial sum; 64-bit integers where those do;
     else integers of any size, held at the bounds of 64 bits.
     """
-    most = np.abs(x).max(initial=0) * np.abs(y).max(initial=0) * max(1, len(x))
-    if most < 2**53:
+    own = np.abs(x).max(initial=0)
+    if own * most * max(1, len(x)) < 2**53:
         return (y @ x).astype(np.int64)
-    if most < 2**62 and max(np.abs(x).max(), np.abs(y).max()) < 2**62:
+    if own * most * len(x) < 2**62 and max(own, most) < 2**62:
         return y.astype(np.int64) @ x.astype(np.int64)
-    own = [int(v) for v in x]
-    return np.array([min(_MOST, max(_LEAST, sum(a * int(b) for a, b in zip(own, row, strict=True)))) for row in y], np.int64)
+    whole = [int(v) for v in x]
+    return np.array([min(_MOST, max(_LEAST, sum(a * int(b) for a, b in zip(whole, row, strict=True)))) for row in y], np.int64)
 
 
 def _lengths(x: np.ndarray) -> np.ndarray:
@@ -168,6 +168,8 @@ class Block:
         return cls(ids, codes(vectors), np.concatenate([np.frombuffer(p["apart"]).reshape(-1, PIVOTS + 1) for p in parts]))
 
     def __post_init__(self) -> None:
+        self.apart = np.asfortranarray(self.apart)  # one pivot's distances after the other
+        self.most = np.abs(self.codes).max(initial=0)
         with np.errstate(over="ignore"):
             self.squares = self.apart[:, 0] ** 2
 
@@ -178,33 +180,40 @@ class Block:
         2 xy = |x|^2 + |y|^2 - |x - y|^2; so each pivot bounds the product from above, and
         a candidate is out where any bound falls below the score to reach. The rest
         are evaluated from the greatest bound on, until the next bound is below
-        the ``k``-th score found: no other candidate can enter.
+        the ``k``-th score found: no other candidate can enter. Steps grow, since
+        the first ones raise that score most.
         """
         with np.errstate(over="ignore", invalid="ignore"):
             ends = self.squares + apart[0] ** 2
-            slack = np.where(np.isfinite(ends), ends * _SLACK + 1, np.inf)
-            alive = np.flatnonzero(self.ids != own)
-            bound = np.full(len(alive), np.inf)
+            top = ends * (1 + 2 * _SLACK) + 2
+            alive, gaps = np.arange(len(ends)), np.zeros(len(ends))
             for p in range(PIVOTS + 1):
-                gap = np.abs(self.apart[alive, p] - apart[p])
-                at = (ends[alive] - gap * gap) / 2 + slack[alive]
-                bound = np.minimum(bound, np.where(np.isnan(at), np.inf, at))
-                keep = bound >= least
-                alive, bound = alive[keep], bound[keep]
+                column = self.apart[:, p]
+                gap = np.abs((column if len(alive) == len(column) else column[alive]) - apart[p])
+                gaps = np.maximum(gaps, gap)
+                if p % 4 == 3:
+                    keep = ~(top - gaps * gaps < 2 * least)
+                    if keep.sum() < 0.75 * len(keep):
+                        alive, gaps, top = alive[keep], gaps[keep], top[keep]
+            bound = (top - gaps * gaps) / 2
+            bound[np.isnan(bound)] = np.inf
+        keep = (bound >= least) & (self.ids[alive] != own)
+        alive, bound = alive[keep], bound[keep]
         order = np.argsort(-bound, kind="stable")
         alive, bound = alive[order], bound[order]
-        best: set[tuple[int, int]] = set()
-        done = 0
+        best: list[tuple[int, int]] = []
+        done, step = 0, STEP
         while done < len(alive) and bound[done] >= least:
-            at = alive[done : done + STEP]
-            score = products(query, self.codes[at])
-            good = score >= least
-            best.update(zip(score[good].tolist(), (-self.ids[at[good]]).tolist(), strict=True))
-            best = set(sorted(best, reverse=True)[:k])
+            at = alive[done : done + step]
+            score = products(query, self.codes[at], self.most)
+            good = np.flatnonzero(score >= least)
+            if len(best) == k and len(good):
+                good = good[score[good] >= best[-1][0]]
+            best = sorted({*best, *zip(score[good].tolist(), (-self.ids[at[good]]).tolist(), strict=True)}, reverse=True)[:k]
             if len(best) == k:
-                least = max(least, min(best)[0])
-            done += len(at)
-        return sorted(best, reverse=True), min(done, len(alive))
+                least = max(least, best[-1][0])
+            done, step = done + len(at), 2 * step
+        return best, done
 
 
 _QUERY = pa.schema([("query", pa.int64()), ("dim", pa.int32()), ("codes", pa.list_(pa.float64())), ("own", pa.list_(pa.float64())), ("least", pa.int64()), ("origin", pa.int64())])
