@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -14,8 +13,7 @@ from parcelflow.operators.ledger import resume_decision
 from parcelflow.plans.store import ListingStore, utc_now
 from parcelflow.schema import MODIFIED, NO_KEY, STORED
 from parcelflow.sources.pages import follow_chain, page_links, read_landed, stream_landed
-
-_STOP = "parcelflow: stop requested"
+from parcelflow.streaming.progress import BatchRecord, drive
 
 
 @dataclass(frozen=True)
@@ -46,9 +44,12 @@ def run_pages(
     quarantine: bool = False,
     should_stop: Callable[[], bool] = lambda: False,
     inclusive: bool = False,
+    report: Callable[[BatchRecord], None] = lambda record: None,
 ) -> RunResult:
     """Load every landed page not yet loaded by this run, then stop.
 
+    ``report`` gets the progress record of each batch as it is committed.
+
     ``run_key`` names the run: calling again with the same key continues after
     its last committed batch. A batch costs a few seconds besides its data, so
     a backfill wants many pages in each; an exact resume point wants few.
@@ -57,28 +58,13 @@ def run_pages(
     """
     store.create()
     started = utc_now()
-    halted = False
-
-    def load(pages: DataFrame, epoch: int) -> None:
-        nonlocal halted
-        if halted:
-            raise RuntimeError(_STOP)
-        store.ingest(pages, run_key, epoch, mode, since, quarantine, started, inclusive)
-        halted = should_stop()
-
-    query = (
-        stream_landed(store.spark, landing, pages_per_batch)
-        .writeStream.foreachBatch(load)
-        .option("checkpointLocation", f"{store.root}/checkpoints/{run_key}")
-        .trigger(availableNow=True)
-        .start()
-    )
-    try:
-        query.awaitTermination()
-    except StreamingQueryException as error:
-        if not halted or _STOP not in str(error):
-            raise
-    return _result(store, run_key, mode, started, halted)
+
+    def load(pages: DataFrame, epoch: int) -> dict:
+        return store.ingest(pages, run_key, epoch, mode, since, quarantine, started, inclusive).asDict()
+
+    pages = stream_landed(store.spark, landing, pages_per_batch)
+    _, stopped = drive(pages, load, run_key, f"{store.root}/checkpoints/{run_key}", should_stop, report)
+    return _result(store, run_key, mode, started, stopped)
 
 
 def full_sync(store: ListingStore, landing: str, run_key: str, **options) -> RunResult:
