@@ -52,3 +52,38 @@ def csv_field(value: Column, sql_type: str) -> Column:
 
 def csv_line(*fields: Column) -> Column:
     return F.concat_ws(",", *fields)
+
+
+# Stand-ins without quotes and backslashes for what a field may hold; the first
+# of them keeps the others unambiguous.
+_MARK, _MARKED, _BACKSLASH, _QUOTE = "\x01", "\x01a", "\x01b", "\x01c"
+
+
+def without_escapes(line: Column) -> Column:
+    """Bulk-load text in which every quote left opens or closes a field.
+
+    Pairs are taken from the left, as they were written: an escaped backslash first,
+    then an escaped quote.
+    """
+    marked = F.replace(line, F.lit(_MARK), F.lit(_MARKED))
+    return F.replace(F.replace(marked, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+
+
+def n_quotes(plain: Column) -> Column:
+    return F.length(plain) - F.length(F.replace(plain, F.lit('"'), F.lit("")))
+
+
+def csv_fields(plain: Column) -> Column:
+    """The fields of a record without escapes, still quoted; ``\\N`` for NULL."""
+    return F.regexp_extract_all(plain, F.lit(r'"[^"]*"|\\N'), F.lit(0))
+
+
+def csv_value(field: Column, sql_type: str) -> Column:
+    """The value of one such field; NULL where it cannot be read as its type."""
+    inner = F.substr(field, F.lit(2), F.length(field) - 2)
+    for mark, meant in ((_QUOTE, '"'), (_BACKSLASH, "\\"), (_MARKED, _MARK)):
+        inner = F.replace(inner, F.lit(mark), F.lit(meant))
+    text = F.when(field != "\\N", inner)
+    if sql_type == "boolean":
+        return F.when(text == "1", True).when(text == "0", False)
+    return text if sql_type == "string" else text.try_cast(sql_type)

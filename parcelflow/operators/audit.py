@@ -7,7 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.schema import KEY, MODIFIED, STATUS
+from parcelflow.schema import KEY, MODIFIED, STATUS, STORED
+
+#: Sketches hold ``2 ** SKETCH_BITS`` registers at most; their relative error is about
+#: 0.83 over the root of that, 1.3 %, and none while a sketch holds few values.
+SKETCH_BITS = 12
 
 
 def hot_raw_join(hot: DataFrame, raw: DataFrame, key: str = KEY) -> DataFrame:
@@ -42,6 +46,39 @@ def load_audit(
     )
 
 
+def batch_sketches(typed: DataFrame, by: Sequence[str] = ("page_no",), key: str = KEY) -> DataFrame:
+    """One row per batch: its counts and times, and sketches of its keys and statuses.
+
+    Such a row is a few kilobytes however many records the batch holds, and rows of
+    batches can be united later; :func:`sketched_audit` needs nothing else.
+    """
+    stored = F.col("outcome") == STORED
+    return typed.groupBy(*by).agg(
+        F.count_if(stored).alias("n_rows"),
+        F.min(F.when(stored, F.col(MODIFIED))).alias("min_ts"),
+        F.max(F.when(stored, F.col(MODIFIED))).alias("max_ts"),
+        F.hll_sketch_agg(F.when(stored, F.col(key)), SKETCH_BITS).alias("keys"),
+        F.hll_sketch_agg(F.when(stored, F.col(STATUS)), SKETCH_BITS).alias("statuses"),
+    )
+
+
+def sketched_audit(batches: DataFrame) -> DataFrame:
+    """The load audit from one row per batch, without a look at the tables.
+
+    ``n_rows`` counts what the batches brought, ``n_keys`` estimates the keys
+    the table holds after them, ``n_statuses`` its statuses. A status that
+    later rows have replaced everywhere still counts.
+    """
+    return batches.agg(
+        F.count("*").alias("n_batches"),
+        F.sum("n_rows").alias("n_rows"),
+        F.min("min_ts").alias("min_ts"),
+        F.max("max_ts").alias("max_ts"),
+        F.hll_sketch_estimate(F.hll_union_agg("keys")).alias("n_keys"),
+        F.hll_sketch_estimate(F.hll_union_agg("statuses")).alias("n_statuses"),
+    )
+
+
 def watermark_check(hot: DataFrame, watermark: Column, modified: str = MODIFIED) -> DataFrame:
     """The stored watermark beside the newest row, and whether they agree."""
     return hot.agg(F.max(modified).alias("max_ts")).select(

@@ -43,20 +43,32 @@ def payload_conformance(
     parsed once and gives one narrow row a column; types and counts are merged
     per task, so the shuffle carries one row per column and task.
     """
-    parsed = payloads.select(co.read_fields(F.col(raw), [f.name for f in fields]).alias("_in"))
+    names = [f.name for f in fields]
 
-    def seen(field: Field) -> Column:
-        value = F.col("_in").getField(field.name)
-        kind, text = co.json_kind(value), co.json_text(value)
+    def fault(field: Field) -> Column:
+        kind, text = F.col(f"_kind_{field.name}"), F.col(f"_text_{field.name}")
         too_long = F.lit(False)
         if field.is_text and field.width:
             too_long = F.coalesce((kind == "STRING") & (F.length(text) > field.width), F.lit(False))
-        fault = F.when(too_long, "long").when(co.unusable(value, co.coerce(kind, text, field)), "other")
-        return F.struct(F.lit(field.name).alias("column_name"), value.alias("value"), fault.alias("fault"))
-
+        unread = co.unusable(F.col("_in").getField(field.name), co.coerce(kind, text, field))
+        return F.when(too_long, "long").when(unread, "other").alias(f"_fault_{field.name}")
+
+    def seen(name: str) -> Column:
+        return F.struct(F.lit(name).alias("column_name"), F.col("_in").getField(name).alias("value"), F.col(f"_fault_{name}").alias("fault"))
+
+    # Kind and text are named columns so that each is taken out only once.
+    faults = (
+        payloads.select(co.read_fields(F.col(raw), names).alias("_in"))
+        .select(
+            "_in",
+            *[co.json_kind(F.col("_in").getField(n)).alias(f"_kind_{n}") for n in names],
+            *[co.json_text(F.col("_in").getField(n)).alias(f"_text_{n}") for n in names],
+        )
+        .select("_in", *[fault(f) for f in fields])
+    )
     value = F.col("s.value")
     found = (
-        parsed.select(F.explode(F.array(*[seen(f) for f in fields])).alias("s"))
+        faults.select(F.explode(F.array(*[seen(n) for n in names])).alias("s"))
         .groupBy(F.col("s.column_name").alias("column_name"))
         .agg(
             F.schema_of_variant_agg(value).alias("sent"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelflow.session import ensure_checkpoint_dir
@@ -48,6 +48,50 @@ def paginate(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
     )
 
 
+def write_pages(df: DataFrame, order: Sequence[str], size: int, path: str) -> None:
+    """Write ``df`` in ``order`` with an index of the first row of every page.
+
+    The rows are numbered once (:func:`paginate`); from then on any page is read
+    by number without a sort, see :func:`read_page`. The index has one narrow
+    row per page. The ``order`` must tell any two rows apart and hold no NULL.
+    """
+    placed = paginate(df, order, size)
+    # The numbered rows already lie in ``order``, task by task.
+    placed.drop("page_no", "pos").write.mode("overwrite").parquet(f"{path}/rows")
+    first = placed.where("pos = 0").select("page_no", *order)
+    first.write.mode("overwrite").parquet(f"{path}/index")
+
+
+def read_page(spark: SparkSession, path: str, page: int, order: Sequence[str], size: int) -> DataFrame:
+    """One page of what :func:`write_pages` wrote, with ``page_no`` and ``pos``; empty past the last.
+
+    Two rows of the index bound the page. The bounds of the leading column
+    reach the scan, which skips files, row groups and Parquet pages outside them;
+    the other columns settle ties inside. Only the page itself is sorted.
+    """
+    index = spark.read.parquet(f"{path}/index").where(F.col("page_no").isin(page, page + 1))
+    bounds = {row["page_no"]: row for row in index.collect()}
+    rows = spark.read.parquet(f"{path}/rows")
+    if page not in bounds:
+        rows = rows.where(F.lit(False))
+    else:
+        rows = rows.where((F.col(order[0]) >= bounds[page][order[0]]) & ~_before(order, bounds[page]))
+        if page + 1 in bounds:
+            end = bounds[page + 1]
+            rows = rows.where((F.col(order[0]) <= end[order[0]]) & _before(order, end))
+    place = Window.partitionBy("page_no").orderBy(*order)
+    return rows.withColumn("page_no", F.lit(page).cast("bigint")).withColumn("pos", F.row_number().over(place) - 1)
+
+
+def _before(order: Sequence[str], bound: Row) -> Column:
+    """Whether a row comes before ``bound`` in ``order``."""
+    before = F.lit(False)
+    for name in reversed(order):
+        column, limit = F.col(name), F.lit(bound[name])
+        before = (column < limit) | ((column == limit) & before)
+    return before
+
+
 def oversized(ledger: DataFrame, cap: int) -> DataFrame:
     """Pages that hold more stored rows than ``cap``; they load all the same."""
     return ledger.where(F.col("n_rows") > cap)

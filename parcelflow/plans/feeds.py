@@ -275,3 +275,28 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"o_orderkey div {PAGE_SIZE}").alias("page_no"),
         (k % PAGE_SIZE).cast("int").alias("pos"),
     )
+
+
+def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as payloads that fit their columns in different degrees.
+
+    Some states are spelled out, some prices are words, some stories are text,
+    bedrooms may be null or left out, and a few payloads are cut off.
+    """
+    k = F.col("o_orderkey")
+    record = F.struct(
+        F.when(k % 97 != 13, k.cast("string")).alias("ListingKey"),
+        F.col("o_orderpriority").alias("City"),
+        F.when(k % 11 == 3, "Nebraska").otherwise("NE").alias("StateOrProvince"),
+        F.when(k % 101 == 7, "n/a")
+        .when(k % 5 != 0, F.col("o_totalprice").cast("decimal(14,2)").cast("string"))
+        .alias("ListPrice"),
+        (k % 30).alias("Stories"),
+        F.when(k % 3 != 0, k % 7).alias("BedroomsTotal"),
+        (k % 2 == 0).alias("SpaYN"),
+    )
+    raw = F.to_json(record)
+    raw = F.when(k % 13 == 4, F.regexp_replace(raw, r'"Stories":\d+', '"Stories":"two"')).otherwise(raw)
+    raw = F.when(k % 4 == 1, F.regexp_replace(raw, r'"BedroomsTotal":\d+', '"BedroomsTotal":null')).otherwise(raw)
+    cut = F.when(k % 1009 == 5, F.substring(raw, 1, 20)).otherwise(raw)
+    return spread(table(spark, sf_dir, "orders")).select(cut.alias("raw"))

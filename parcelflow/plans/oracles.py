@@ -131,6 +131,8 @@ _SENT_FIELDS = (
 
 _REQUIRED = ", ".join(f"('{name}')" for name in PROMOTED_NAMES)
 
+_POSITIONS = ", ".join(f"({n}, '{name}')" for n, name in enumerate(PROMOTED_NAMES))
+
 _LOADED = "TIMESTAMP '2024-06-01 11:59:00'"
 
 _ISO = (
@@ -388,5 +390,86 @@ SELECT 'k' || event_id AS key,
        CASE WHEN event_id % 6 = 0 THEN 'k' ELSE 'K' END || event_id AS "ListingKey",
        CASE WHEN event_id % 6 = 0 THEN 'second' ELSE 'first' END AS "MlsStatus",
        CASE WHEN event_id % 6 = 0 THEN 'second' ELSE 'first' END AS raw_status
+FROM events""",
+    "typed_conformance": f"""
+WITH required(position, column_name) AS (VALUES {_POSITIONS}),
+sent AS (SELECT o_orderkey AS k, o_orderkey % 1009 <> 5 AS whole FROM orders),
+counted(column_name, sent, n_missing, n_null, n_other_type, n_too_long) AS (
+  SELECT 'ListingKey', 'STRING', count(*) FILTER (NOT whole OR k % 97 = 13), 0, 0, 0 FROM sent
+  UNION ALL SELECT 'City', 'STRING', count(*) FILTER (NOT whole), 0, 0, 0 FROM sent
+  UNION ALL SELECT 'StateOrProvince', 'STRING', count(*) FILTER (NOT whole), 0, 0,
+                   count(*) FILTER (whole AND k % 11 = 3) FROM sent
+  UNION ALL SELECT 'ListPrice', 'STRING', count(*) FILTER (NOT whole OR (k % 5 = 0 AND k % 101 <> 7)), 0,
+                   count(*) FILTER (whole AND k % 101 = 7), 0 FROM sent
+  UNION ALL SELECT 'Stories', 'VARIANT', count(*) FILTER (NOT whole), 0,
+                   count(*) FILTER (whole AND k % 13 = 4), 0 FROM sent
+  UNION ALL SELECT 'BedroomsTotal', 'BIGINT', count(*) FILTER (NOT whole OR k % 3 = 0),
+                   count(*) FILTER (whole AND k % 3 <> 0 AND k % 4 = 1), 0, 0 FROM sent
+  UNION ALL SELECT 'SpaYN', 'BOOLEAN', count(*) FILTER (NOT whole), 0, 0, 0 FROM sent
+), every AS (
+  SELECT CAST(position AS INTEGER) AS position, r.column_name, coalesce(sent, 'VOID') AS sent,
+         (SELECT count(*) FROM orders) AS n_payloads,
+         CAST(coalesce(n_missing, (SELECT count(*) FROM orders)) AS BIGINT) AS n_missing,
+         CAST(coalesce(n_null, 0) AS BIGINT) AS n_null,
+         CAST(coalesce(n_other_type, 0) AS BIGINT) AS n_other_type,
+         CAST(coalesce(n_too_long, 0) AS BIGINT) AS n_too_long
+  FROM required r LEFT JOIN counted c ON r.column_name = c.column_name
+)
+SELECT *, CASE WHEN n_missing + n_null = n_payloads THEN 'missing' WHEN n_other_type > 0 THEN 'other type'
+               WHEN n_too_long > 0 THEN 'too long' WHEN n_missing + n_null > 0 THEN 'nullable'
+               ELSE 'sound' END AS verdict
+FROM every""",
+    "table_conformance": f"""
+WITH required(position, column_name) AS (VALUES {_POSITIONS}),
+measured(column_name, actual, longest, n_null, verdict) AS (
+  SELECT 'ListingKey', 'string', max(length(CAST(o_orderkey AS VARCHAR))), 0, 'sound' FROM orders
+  UNION ALL SELECT 'MlsStatus', 'string', max(length(o_orderstatus)), 0, 'sound' FROM orders
+  UNION ALL SELECT 'ListPrice', 'decimal(14,2)', NULL, 0, 'sound'
+  UNION ALL SELECT 'ModificationTimestamp', 'timestamp', NULL, count(*) FILTER (o_orderkey % 9 = 4), 'nullable' FROM orders
+  UNION ALL SELECT 'StateOrProvince', 'string', max(o_orderkey % 5), 0, 'too long' FROM orders
+  UNION ALL SELECT 'Stories', 'bigint', NULL, 0, 'other type'
+)
+SELECT CAST(position AS INTEGER) AS position, r.column_name, actual, CAST(longest AS INTEGER) AS longest,
+       CAST(coalesce(n_null, (SELECT count(*) FROM orders)) AS BIGINT) AS n_null,
+       coalesce(verdict, 'missing') AS verdict
+FROM required r LEFT JOIN measured m ON r.column_name = m.column_name""",
+    "multi_column_lookup": _ORDER_ROWS
+    + f"""
+SELECT 'price' AS search, {_ROW} FROM base WHERE "ListPrice" BETWEEN 100000 AND 120000
+UNION ALL
+SELECT 'time', {_ROW} FROM base WHERE "ModificationTimestamp" >= TIMESTAMP '2000-06-01'""",
+    "page_by_number": """
+SELECT o_orderkey, o_orderdate, CAST(1 AS BIGINT) AS page_no, CAST(rn - 1000 AS INTEGER) AS pos
+FROM (SELECT o_orderkey, o_orderdate,
+             row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS rn FROM orders)
+WHERE rn // 1000 = 1""",
+    "incremental_by_folder": f"""
+SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > {_STORED_MARK}""",
+    "sketched_audit": _FEED
+    + """
+SELECT (SELECT count(*) FROM ledger) AS n_batches, count(*) AS n_rows, min(sent_ts) AS min_ts,
+       max(sent_ts) AS max_ts, count(DISTINCT o_orderstatus) AS n_statuses,
+       count(DISTINCT listing_key) AS n_keys_exact, true AS keys_within
+FROM stored""",
+    "differing_rows": _ORDER_ROWS.replace("FROM orders\n), winners", "FROM orders WHERE o_orderkey % 1000 < 10\n), winners")
+    + f"""
+SELECT *, 'left' AS side FROM (SELECT {_ROW} FROM base EXCEPT ALL SELECT {_ROW} FROM merged)
+UNION ALL
+SELECT *, 'right' FROM (SELECT {_ROW} FROM merged EXCEPT ALL SELECT {_ROW} FROM base)""",
+    "bulk_read_back": r"""
+SELECT c_custkey,
+       CASE WHEN c_custkey % 5 = 0 THEN c_name || ', "x\y"'
+            WHEN c_custkey % 11 = 0 THEN chr(10) || '"' || chr(10) || c_name || '\' || chr(10) || chr(13) || chr(10)
+            WHEN c_custkey % 13 = 0 THEN '\N' ELSE c_name END AS name,
+       CASE WHEN c_custkey % 7 <> 0 THEN c_mktsegment END AS segment,
+       CAST(c_acctbal AS DECIMAL(12,2)) AS balance, c_custkey % 2 = 0 AS flag,
+       TIMESTAMP '2024-06-01 11:00:00' + to_microseconds(c_custkey * 1000000 + (c_custkey % 2) * 1500) AS seen,
+       CASE WHEN c_custkey % 3 <> 0 THEN DATE '2024-06-01' + CAST(c_custkey % 365 AS INTEGER) END AS day
+FROM customer""",
+    "stream_progress": """
+SELECT CAST((max(event_id) // 1000 + 1 + 15) // 16 AS BIGINT) AS n_batches,
+       CAST(max(event_id) // 1000 + 1 AS BIGINT) AS n_pages, CAST(count(*) AS BIGINT) AS n_rows,
+       max(ts) AS max_ts, count(*) AS n_stored
 FROM events""",
 }
+ORACLES["streamed_resume_decision"] = ORACLES["resume_decision"]

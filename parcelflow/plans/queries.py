@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import coerce as co
 from parcelflow.functions.text import iso_z
-from parcelflow.operators import audit, export, layout, ledger, paging, upsert
+from parcelflow.operators import audit, conformance, export, layout, ledger, paging, upsert
 from parcelflow.operators import transform as tr
 from parcelflow.plans import feeds
 from parcelflow.plans.store import ListingStore
@@ -19,7 +19,7 @@ from parcelflow.schema import PROMOTED_NAMES, Field
 from parcelflow.session import configure, new_work_dir
 from parcelflow.sources import pages as pg
 from parcelflow.sources import scans
-from parcelflow.streaming import sync
+from parcelflow.streaming import feed_states, progress, sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -390,7 +390,7 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     twice = upsert.apply_batch(once, batch.withColumn("loaded_at", F.lit(NOW)))
     return once.agg(F.count("*").alias("n_rows")).select(
         "n_rows",
-        upsert.state_difference(once, twice).agg(F.count("*")).scalar().alias("n_differences"),
+        upsert.digested_difference(once, twice).agg(F.count("*")).scalar().alias("n_differences"),
     )
 
 
@@ -719,3 +719,154 @@ def store_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.get_json_object("raw_data", "$.MlsStatus").alias("raw_status")
     hot = store.property(["ListingKey", "MlsStatus"]).select("*", key)
     return hot.join(store.property_raw().select(key, status), "key", "full")
+
+
+# ---- conformance, layouts, pages by number, folders by time --------------------------
+
+
+@query
+def typed_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conformance.payload_conformance(feeds.mixed_records(spark, sf_dir)).drop("expected")
+
+
+@query
+def table_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.trim("ListingKey").cast("bigint")
+    rows = feeds.order_rows(spark, sf_dir).select(
+        "ListingKey",
+        "MlsStatus",
+        "ListPrice",
+        F.when(k % 9 != 4, F.col("ModificationTimestamp")).alias("modificationtimestamp"),
+        F.repeat(F.lit("x"), (k % 5).cast("int")).alias("StateOrProvince"),
+        (k % 30).alias("Stories"),
+    )
+    return conformance.table_conformance(rows).drop("expected")
+
+
+@query
+def multi_column_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches on the second and on the third column of one layout."""
+    path = new_work_dir(spark, "multi-column-lookup")
+    searched = ["MlsStatus", "ListPrice", "ModificationTimestamp"]
+    layout.write_curve_layout(feeds.order_rows(spark, sf_dir), path, searched)
+    rows = spark.read.parquet(path)
+    by_price = rows.where(F.col("ListPrice").between(100_000, 120_000))
+    by_time = rows.where(F.col("ModificationTimestamp") >= datetime(2000, 6, 1))
+    return by_price.select(F.lit("price").alias("search"), *_ROW).unionByName(by_time.select(F.lit("time").alias("search"), *_ROW))
+
+
+@query
+def page_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of all orders, found through the index of first rows."""
+    path, order = new_work_dir(spark, "page-by-number"), ["o_orderdate", "o_orderkey"]
+    orders = feeds.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    paging.write_pages(orders, order, 1000, path)
+    return paging.read_page(spark, path, 1, order, 1000)
+
+
+@query
+def incremental_by_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_work_dir(spark, "incremental-by-folder")
+    orders = feeds.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    scans.write_by_time(orders, path, "o_orderkey", "o_orderdate", unit="month")
+    bound = scans.stored_watermark(_stored_ledger(orders))
+    return scans.newer_in_folders(spark.read.parquet(path), bound, "o_orderdate", unit="month")
+
+
+@query
+def sketched_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit from one row per page, with the exact number of keys beside it."""
+    typed = _written(_typed(spark, sf_dir), "sketched-audit")
+    found = audit.sketched_audit(_written(audit.batch_sketches(typed), "sketches"))
+    exact = tr.stored_rows(typed).agg(F.countDistinct("ListingKey")).scalar()
+    return found.withColumn("n_keys_exact", exact).select(
+        "n_batches",
+        "n_rows",
+        "min_ts",
+        "max_ts",
+        "n_statuses",
+        "n_keys_exact",
+        (F.abs(F.col("n_keys") - F.col("n_keys_exact")) <= 0.05 * F.col("n_keys_exact")).alias("keys_within"),
+    )
+
+
+@query
+def differing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a batch changed, found through digests of the states before and after it."""
+    base, batch = feeds.order_rows(spark, sf_dir), feeds.changed_rows(spark, sf_dir).where("pos < 10")
+    return upsert.digested_difference(base, upsert.apply_batch(base, batch), ignore=("loaded_at", "run_no", "page_no", "pos"))
+
+
+@query
+def bulk_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bulk file of all customers, some with quotes, line ends and NULL markers, read again."""
+    path, c = new_work_dir(spark, "bulk-read-back"), F.col("c_custkey")
+    rows = feeds.table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.when(c % 5 == 0, F.concat("c_name", F.lit(', "x\\y"')))
+        .when(c % 11 == 0, F.concat(F.lit('\n"\n'), "c_name", F.lit("\\\n\r\n")))
+        .when(c % 13 == 0, "\\N")
+        .otherwise(F.col("c_name"))
+        .alias("name"),
+        F.when(c % 7 != 0, F.col("c_mktsegment")).alias("segment"),
+        F.col("c_acctbal").cast("decimal(12,2)").alias("balance"),
+        (c % 2 == 0).alias("flag"),
+        F.timestamp_add("MICROSECOND", c * 1_000_000 + (c % 2) * 1_500, F.lit(STARTED_AT)).alias("seen"),
+        F.when(c % 3 != 0, F.date_add(F.lit(STARTED_AT.date()), (c % 365).cast("int"))).alias("day"),
+    )
+    export.write_bulk_file(rows, path)
+    return export.read_bulk_file(spark, path, rows.schema)
+
+
+# ---- streams with progress and state --------------------------------------
+
+
+@query
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that is stopped after its first batch and goes on, and the record of each batch."""
+    root = new_work_dir(spark, "stream-progress")
+    pg.land_pages(pg.pack_pages(feeds.event_records(spark, sf_dir)), f"{root}/landing")
+
+    def run(should_stop: Callable[[], bool]) -> DataFrame:
+        done, _ = progress.run_stream(
+            pg.stream_landed(spark, f"{root}/landing", 16),
+            lambda pages: tr.type_records(pg.open_pages(pages), feeds.SLIM),
+            lambda rows, epoch: rows.write.mode("overwrite").parquet(f"{root}/rows/epoch={epoch}"),
+            "stream-progress",
+            f"{root}/checkpoint",
+            should_stop=should_stop,
+        )
+        return done.as_table(spark)
+
+    records = run(lambda: True).unionByName(run(lambda: False))
+    # A batch that the stop kept from being marked done is repeated; it counts once.
+    batches = upsert.latest_per_key(records, "epoch", ["run_id"])
+    rows = spark.read.parquet(f"{root}/rows")
+    return batches.agg(
+        F.count("*").alias("n_batches"),
+        F.sum("n_pages").alias("n_pages"),
+        F.sum("n_rows").alias("n_rows"),
+        F.max("running_max_ts").alias("max_ts"),
+    ).withColumn("n_stored", tr.stored_rows(rows).agg(F.countDistinct("ListingKey")).scalar())
+
+
+@query
+def streamed_resume_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision for every feed from states that a stream folded over several triggers and a restart."""
+    root, k = new_work_dir(spark, "feed-states"), F.col("o_orderkey")
+    saves = feeds.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("feed"),
+        k.alias("batch_id"),
+        F.when(k % 2 == 0, "full").otherwise("incremental").alias("mode"),
+        (k % 7 != 0).alias("in_progress"),
+        F.when(k % 7 != 0, F.timestamp_add("SECOND", -(k % 481), F.lit(NOW))).alias("link_saved_at"),
+        F.when(k % 5 != 0, F.col("o_orderdate")).alias("watermark"),
+    )
+    # Later saves land first: the order of arrival must not matter.
+    for part in (saves.where("batch_id % 3 > 0"), saves.where("batch_id % 3 = 0")):
+        part.repartition(4).write.mode("append").parquet(f"{root}/landing")
+        landed = spark.readStream.schema(saves.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+        feed_states.follow_states(landed, root)
+    states = feed_states.read_states(spark, root, ", ".join(f"{n} {t}" for n, t in saves.dtypes))
+    any_mode = ledger.resume_decision(states, NOW).withColumnRenamed("decision", "any_mode")
+    return ledger.resume_decision(any_mode, NOW, mode="full").select("feed", "batch_id", "any_mode", F.col("decision").alias("same_mode"))

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from parcelflow.schema import MODIFIED
 
+#: The folder column of :func:`write_by_time`: the first day of the folder's time.
+FOLDER = "modified_from"
+
 
 def full_scan(df: DataFrame, modified: str = MODIFIED) -> DataFrame:
     """Every row, oldest change first (a range-partitioned sort)."""
@@ -38,6 +41,34 @@ def newer_than(
     return df.where(column >= limit if inclusive else column > limit)
 
 
+def write_by_time(rows: DataFrame, path: str, key: str, modified: str = MODIFIED, unit: str = "day") -> None:
+    """Write ``rows`` into one folder per ``unit`` (day, month, year) of their modification time.
+
+    Rows without a time go to a folder of their own, which no time bound reads.
+    Tasks get ranges of time and ``key``: each writes few folders, and a day that
+    holds a third of all rows is written by many.
+    """
+    placed = rows.withColumn(FOLDER, F.date_trunc(unit, F.col(modified)).cast("date"))
+    placed.repartitionByRange(modified, key).sortWithinPartitions(modified, key).write.mode("overwrite").partitionBy(FOLDER).parquet(path)
+
+
+def newer_in_folders(
+    folders: DataFrame,
+    bound: Column | datetime,
+    modified: str = MODIFIED,
+    unit: str = "day",
+    inclusive: bool = False,
+) -> DataFrame:
+    """:func:`newer_than` over what :func:`write_by_time` wrote with the same ``unit``.
+
+    Folders of earlier times are ruled out before any file is opened, also where
+    the bound is a scalar subquery; inside the bound's own folder the time itself
+    is pushed to the scan as before.
+    """
+    first = F.date_trunc(unit, _limit(folders, bound, modified)).cast("date")
+    return newer_than(folders.where(F.col(FOLDER) >= first), bound, modified, inclusive).drop(FOLDER)
+
+
 def late_rows(df: DataFrame, bound: Column | datetime, modified: str = MODIFIED) -> DataFrame:
     """Rows the next incremental scan will not see: at or below ``bound``."""
     return df.where(F.col(modified) <= _limit(df, bound, modified))
