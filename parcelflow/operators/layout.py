@@ -97,7 +97,8 @@ def write_curve_layout(
     Sorted by several columns, a file serves its first column alone. Along the
     curve every page spans a narrow range of each of them, so Parquet's page
     statistics rule pages out by whichever column is searched: of ``p`` pages about
-    ``p ** (1 - 1 / len(layout))`` stay. The key ends the order, so that rows
+    ``p ** (1 - 1 / len(layout))`` stay, and up to twice as many for a range
+    across the middle of a column. The key ends the order, so that rows
     alike in all columns still spread over files, and carries a Bloom filter.
     """
     (
