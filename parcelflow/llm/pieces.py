@@ -20,7 +20,7 @@ from itertools import chain, pairwise
 import numpy as np
 
 #: Pieces kept in a cache; each takes some 200 bytes.
-CACHED = 500_000
+CACHED = 600_000
 #: Characters of a text that are cut into pieces at a time.
 SPAN = 1 << 20
 #: Pieces that are encoded as one string.
@@ -28,6 +28,7 @@ JOINED = 500
 
 _UNSAFE = ()  # stands for a piece that does not stand alone; joins and sums refuse it
 _SPACE_MARK = "▁"  # stands for a space inside one of the vocabularies
+_TAILS = ".,;:!?*#$%&()|"  # neither letter, digit, white space nor apostrophe: byte-level BPE cuts between such and a letter
 
 
 class PieceEncoder:
@@ -36,8 +37,9 @@ class PieceEncoder:
     ``runs`` measures strings as they are, ``pieces`` does so for printable
     pieces without white space inside; ``total`` adds values up. With ``lead``,
     every piece is measured with the space before it, but for a text's first and
-    those that start a line. ``open_up`` makes a text easier to cut, ``close_up``
-    undoes that.
+    those that start a line. ``tails`` are characters that start a token of their
+    own after a letter: words are then measured without them. ``open_up`` makes a
+    text easier to cut, ``close_up`` undoes that.
     """
 
     def __init__(
@@ -46,41 +48,54 @@ class PieceEncoder:
         pieces: Callable[[list[str]], list],
         total: Callable[[Iterable], object],
         lead: bool = False,
+        tails: str = "",
         open_up: Callable[[str], str] = str,
         close_up: Callable[[str], str] = str,
     ):
         self._runs, self._pieces, self._total, self._lead = runs, pieces, total, " " if lead else ""
-        self._open_up, self._close_up = open_up, close_up
+        self._tails, self._open_up, self._close_up = tails, open_up, close_up
         self._known: dict[str, object] = {}
+        self._first: dict[str, object] = {}  # with ``lead``: pieces as they start a text
 
     def encode(self, texts: list[str]) -> list:
         """Values of whole texts; give it about a megabyte at a time."""
         spans = [list(_spans(self._open_up(text))) for text in texts]
-        self._learn(set(chain.from_iterable(chain.from_iterable(spans))) - self._known.keys())
-        values = [self._total([self._value(parts, k == 0) for k, parts in enumerate(of)]) for of in spans]
-        if len(self._known) > CACHED:  # frequent pieces come early
-            for piece in list(self._known)[CACHED // 2 :]:
-                del self._known[piece]
+        found: set[str] = set()
+        for of in spans:
+            found.update(*of)
+        self._learn(found.difference(self._known), self._known, self._lead)
+        if self._lead:
+            self._learn({of[0][0] for of in spans}.difference(self._first), self._first, "")
+        values = [self._value(of[0], True) if len(of) == 1 else self._total([self._value(parts, k == 0) for k, parts in enumerate(of)]) for of in spans]
+        for cache in (self._known, self._first):
+            if len(cache) > CACHED:  # frequent pieces come early
+                for piece in list(cache)[CACHED // 2 :]:
+                    del cache[piece]
         return values
 
     def _value(self, parts: list[str], starts: bool):
         values = list(map(self._known.__getitem__, parts))
-        if _UNSAFE in values:
+        if starts and self._lead:
+            values[0] = self._first[parts[0]]
+        try:
+            return self._total(values)
+        except TypeError:  # a piece that does not stand alone
             runs = [("" if starts and k == 0 else self._lead) + run for k, run in enumerate(_joined_where_unsafe(parts))]
             return self._total(self._runs([self._close_up(run) for run in runs]))
-        if starts and self._lead:
-            values[0] = self._runs([self._close_up(parts[0])])[0]
-        return self._total(values)
 
-    def _learn(self, new: set[str]) -> None:
-        plain, other = [], []
-        for piece in new:
-            if not _stands_alone(piece):
-                self._known[piece] = _UNSAFE
-            else:
-                (plain if piece.isprintable() else other).append(piece)
-        for some, measure in ((plain, self._pieces), (other, self._runs)):
-            self._known.update(zip(some, measure([self._close_up(self._lead + p) for p in some]), strict=True))
+    def _learn(self, new: set[str], into: dict[str, object], lead: str) -> None:
+        plain = [p for p in new if p.isprintable() and p and p[0] != _SPACE_MARK and p[-1] != _SPACE_MARK]
+        rest = new.difference(plain)
+        other = [p for p in rest if _stands_alone(p)]
+        into.update(dict.fromkeys(rest.difference(other), _UNSAFE))
+        tails = self._tails
+        stems = {p: s for p in plain if p[-1] in tails and (s := p.rstrip(tails)) and s[-1] < "\u0250" and s[-1].isalpha()} if tails else {}
+        whole = [w for w in {stems.get(p, p) for p in plain} if w not in into] if stems else plain
+        ends = list({p[len(s) :] for p, s in stems.items()})
+        into.update(zip(whole, self._pieces([self._close_up(lead + p) for p in whole]), strict=True))
+        into.update(zip(other, self._runs([self._close_up(lead + p) for p in other]), strict=True))
+        end = dict(zip(ends, self._pieces(ends), strict=True))
+        into.update([(p, into[s] + end[p[len(s) :]]) for p, s in stems.items()])
 
 
 def _spans(text: str) -> Iterator[list[str]]:
@@ -167,7 +182,7 @@ def id_encoder(path: str, kind: str) -> PieceEncoder:
     if kind == "word":
         specials = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
         return PieceEncoder(runs, pieces, b"".join, open_up=lambda t: _words_apart(t, specials))
-    return PieceEncoder(runs, pieces, b"".join, lead=True, open_up=lambda t: t.replace("\n", " \n"), close_up=lambda t: t.replace(" \n", "\n"))
+    return PieceEncoder(runs, pieces, b"".join, lead=True, tails=_TAILS, open_up=lambda t: t.replace("\n", " \n"), close_up=lambda t: t.replace(" \n", "\n"))
 
 
 @lru_cache(maxsize=4)
