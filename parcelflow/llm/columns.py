@@ -53,13 +53,22 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, or the first of ``wanted_1``, ``wanted_2`` … that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (wanted, *(f"{wanted}_{k}" for k in range(1, len(taken) + 2))) if n.lower() not in taken)
+
+
 def with_texts_mapped(df: DataFrame, into: str, kind: str, start: Callable[[], Callable[[pa.RecordBatch], pa.Array]], drop: tuple[str, ...] = (), step: int = STEP_BYTES) -> DataFrame:
     """``df`` with a column that an Arrow function makes from its rows, about ``step`` bytes of ``text`` at a time.
 
     ``start`` is called once per task and gives the function. Columns in ``drop``
-    are not returned; all others pass through unchanged.
+    are not returned; all others pass through unchanged. ``into`` must be a name that
+    none of these has, see :func:`free_name`.
     """
     kept = [f for f in df.schema.fields if f.name not in drop]
+    if into.lower() in {f.name.lower() for f in kept}:
+        raise ValueError(f"there is a column {into!r} already")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.columns import texts_of, with_texts_mapped
+from parcelflow.llm.columns import free_name, texts_of, with_texts_mapped
 from parcelflow.llm.wordhash import LOWER, WORD, WORDS_ONLY
 
 #: Words of a window; an item of fewer words is one window.
@@ -100,8 +100,8 @@ def with_hits(docs: DataFrame, items: DataFrame, into: str, drop: tuple[str, ...
     shares = _shares(items)
     for k, share in enumerate(shares):
         last = k == len(shares) - 1
-        step = into if last else f"{into}_{k}"
-        earlier = f"{into}_{k - 1}" if k else None
+        earlier = step if k else None
+        step = into if last else free_name(made, f"{into}_{k}")
         made = with_texts_mapped(made, step, _HITS, _scan(share, earlier), (*(drop if last else ()), *((earlier,) if earlier else ())))
     return made
 
@@ -146,5 +146,6 @@ def decontamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated."""
-    return with_hits(docs, items, "_hits").where(~contaminated("_hits")).select(docs.columns)
+    """The rows of ``docs`` that are not contaminated; their columns, whatever their names, stay as they are."""
+    hits_of = free_name(docs, "_hits")
+    return with_hits(docs, items, hits_of).where(~contaminated(hits_of)).select(docs.columns)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import unicodedata
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.columns import texts_of, with_texts_mapped
+from parcelflow.llm.columns import by_bytes, texts_of, with_texts_mapped
 
 #: Texts of each language that are learned from, those with the least hashes.
 TAUGHT = 400
@@ -32,12 +32,13 @@ SCRIPT_STARTS = np.array([
 
 
 @lru_cache(maxsize=1)
-def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """For every code point: whether it belongs to words, and its lower-case form where that is one character."""
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every code point: whether it belongs to words, whether it is a letter, and its lower-case form where that is one character."""
     points = [chr(k) for k in range(0x110000)]
-    inside = np.array([c.isalpha() or unicodedata.category(c)[0] == "M" for c in points])
+    letter = np.array([c.isalpha() for c in points])
+    inside = letter | np.array([unicodedata.category(c)[0] == "M" for c in points])
     lower = np.array([ord(x) if len(x := c.lower()) == 1 else k for k, c in enumerate(points)], np.uint32)
-    return inside, lower
+    return inside, letter, lower
 
 
 @dataclass
@@ -57,12 +58,18 @@ class Words:
 
 
 def words_of(texts: list[str]) -> Words:
-    inside, lower = _tables()
+    inside, letter, lower = _tables()
     sizes = np.array([len(t) + 1 for t in texts])
     points = lower[np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")]
     on = inside[points]
     edges = np.flatnonzero(np.diff(on, prepend=False, append=False))
     begins, ends = edges[::2], edges[1::2]
+    if len(begins):
+        # Marks that stand without any letter are no word.
+        worded = np.add.reduceat(letter[points], begins, dtype=np.int64) > 0
+        for start, stop in zip(begins[~worded].tolist(), ends[~worded].tolist(), strict=True):
+            on[start:stop] = False
+        begins, ends = begins[worded], ends[worded]
     starts = np.concatenate([[0], np.cumsum(sizes)])
     text = np.searchsorted(starts, begins, "right") - 1
     points = np.where(on, points, np.uint32(0))
@@ -125,20 +132,35 @@ def best_path(scores: np.ndarray, text: np.ndarray, switch: float = SWITCH) -> n
 
 
 def fit(docs: DataFrame) -> Languages:
-    """Learn from ``text`` and ``lang`` of at most ``TAUGHT`` texts of each language."""
+    """Learn from ``text`` and ``lang`` of at most ``TAUGHT`` texts of each language.
+
+    Texts are chosen and counted in tasks, for any number of languages; the driver
+    gets the counts, no text. Texts that are repeated teach once.
+    """
     known = docs.where("text is not null and lang is not null").select("lang", "text").withColumn("_order", F.xxhash64("text"))
-    keys = known.select("lang", "_order").distinct()
-    names = sorted(r["lang"] for r in keys.select("lang").distinct().collect())
+    ranked = known.select("lang", "_order").distinct().withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_order")))
+    chosen = ranked.where(F.col("_rank") <= TAUGHT).select("lang", "_order")
+    taught = known.join(chosen, ["lang", "_order"]).groupBy("lang", "_order").agg(F.min("text").alias("text")).select("lang", "text")
+
+    def count(batches):
+        for batch in by_bytes(batches, "text"):
+            langs = np.array(batch.column("lang").to_pylist(), object)
+            for lang in set(langs.tolist()):
+                words = words_of([t for t, own in zip(texts_of(batch), langs == lang, strict=True) if own])
+                letters = np.bincount(words.script, words.letters, len(SCRIPT_STARTS)).astype(np.int64)
+                counts = np.concatenate([np.bincount(words.buckets, minlength=BUCKETS), letters])
+                # A language without a word still is one.
+                at = np.flatnonzero(counts) if counts.any() else np.zeros(1, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(counts[at])], ["lang", "at", "n"])
+
+    rows = taught.mapInArrow(count, "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")).collect()
+    names = sorted({r["lang"] for r in rows})
     if not names:
         return Languages([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_STARTS), 0), bool))
-    chosen = reduce(DataFrame.unionByName, [keys.where(F.col("lang") == name).orderBy("_order").limit(TAUGHT) for name in names])
-    rows = known.join(F.broadcast(chosen), ["lang", "_order"]).groupBy("lang", "_order").agg(F.min("text").alias("text")).orderBy("lang", "_order").collect()
-    counts = np.zeros((BUCKETS, len(names)))
-    letters = np.zeros((len(SCRIPT_STARTS), len(names)))
-    for k, name in enumerate(names):
-        words = words_of([r["text"] for r in rows if r["lang"] == name])
-        counts[:, k] = np.bincount(words.buckets, minlength=BUCKETS)
-        letters[:, k] = np.bincount(words.script, words.letters, len(SCRIPT_STARTS))
+    column = {name: k for k, name in enumerate(names)}
+    counts = np.zeros((BUCKETS + len(SCRIPT_STARTS), len(names)))
+    counts[[r["at"] for r in rows], [column[r["lang"]] for r in rows]] = [r["n"] for r in rows]
+    counts, letters = counts[:BUCKETS], counts[BUCKETS:]
     scores = np.log((counts + 0.02) / (counts.sum(axis=0) + 0.02 * BUCKETS))
     return Languages(names, scores.astype(np.float32), letters >= SCRIPT_SHARE * np.maximum(1, letters.sum(axis=0)))
 

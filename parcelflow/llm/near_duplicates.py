@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.columns import by_bytes, text_bytes
+from parcelflow.llm.columns import by_bytes, free_name, text_bytes
 from parcelflow.llm.wordhash import mix, word_hashes
 from parcelflow.session import new_work_dir
 
@@ -358,13 +358,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash, class_doc, n_copies, n_links, group_id, group_doc, group_size.
+    """One row per row of ``docs``: doc_id, text_hash, class_doc, n_copies, n_verified, group_id, group_doc, group_size.
 
     ``class_doc`` is the least doc_id of the rows with the same words in the same
     order, ``group_doc`` that of all rows connected by links between similar
-    texts, which share a ``group_id``; ``n_copies`` and ``group_size`` count those rows. ``n_links`` counts
-    the verified links of the row's class that were needed to connect its group;
-    pairs already connected are not verified again. A row whose text is null or
+    texts, which share a ``group_id``; ``n_copies`` and ``group_size`` count those rows. ``n_verified`` counts
+    the links of the row's class that were verified to connect its group, which
+    is not all it has: pairs already connected are not verified again. A row whose text is null or
     has no word stands alone, with its own doc_id and no group_id. Repeated rows are copies of
     each other. Null doc_ids sort last. An empty table gives no rows. Other
     columns are not read.
@@ -407,17 +407,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = _stored(links.unionByName(more).distinct(), "links")
     labels = components(links)
 
-    degree = links.select(F.col("pivot").alias("class_id")).unionByName(links.select(F.col("partner").alias("class_id"))).groupBy("class_id").agg(F.count("*").alias("n_links"))
+    degree = links.select(F.col("pivot").alias("class_id")).unionByName(links.select(F.col("partner").alias("class_id"))).groupBy("class_id").agg(F.count("*").alias("n_verified"))
     labelled = (
         classes.join(labels.withColumnRenamed("id", "class_id"), "class_id", "left")
         .join(degree, "class_id", "left")
-        .select("key_a", "key_b", "n_copies", "first_doc", F.coalesce("label", "class_id").alias("label"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        .select("key_a", "key_b", "n_copies", "first_doc", F.coalesce("label", "class_id").alias("label"), F.coalesce("n_verified", F.lit(0).cast("long")).alias("n_verified"))
     )
     groups = labelled.groupBy("label").agg(F.min("first_doc").alias("group_doc"), F.sum("n_copies").alias("group_size"))
-    known = _stored(labelled.join(groups, "label").select("key_a", "key_b", F.col("first_doc").alias("class_doc"), "n_copies", "n_links", F.col("label").alias("group_id"), "group_doc", "group_size"), "groups")
+    known = _stored(labelled.join(groups, "label").select("key_a", "key_b", F.col("first_doc").alias("class_doc"), "n_copies", "n_verified", F.col("label").alias("group_id"), "group_doc", "group_size"), "groups")
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
     alone = [F.col("doc_id"), one, none, F.lit(None).cast("long"), F.col("doc_id"), one]
-    names = ["class_doc", "n_copies", "n_links", "group_id", "group_doc", "group_size"]
+    names = ["class_doc", "n_copies", "n_verified", "group_id", "group_doc", "group_size"]
     return signed.join(known, ["key_a", "key_b"], "left").select(
         "doc_id", "text_hash", *(F.when(F.col("key_a").isNull(), a).otherwise(F.col(n)).alias(n) for n, a in zip(names, alone, strict=True))
     )
@@ -442,8 +442,10 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
         ),
         "stays",
     )
-    kept = docs.withColumn("_text_hash", F.xxhash64("text")).join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_text_hash") == F.col("_hash")))
-    if stays.where("_repeated").isEmpty():
+    own, doc, digest, repeated = (free_name(docs, n) for n in ("_text_hash", "_doc", "_hash", "_repeated"))
+    stays = stays.toDF(doc, digest, repeated)
+    kept = docs.withColumn(own, F.xxhash64("text")).join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(digest)))
+    if stays.where(F.col(repeated)).isEmpty():
         return kept.select(docs.columns)
-    once = kept.where("_repeated").dropDuplicates(["_doc", "_hash"])
-    return kept.where("not _repeated").unionByName(once).select(docs.columns)
+    once = kept.where(F.col(repeated)).dropDuplicates([doc, digest])
+    return kept.where(~F.col(repeated)).unionByName(once).select(docs.columns)

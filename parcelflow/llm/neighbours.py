@@ -17,6 +17,9 @@ from parcelflow.session import new_work_dir
 #: Vectors of a block of queries and of candidates; candidate blocks that one group holds.
 QUERY_ROWS, CANDIDATE_ROWS, GROUP_BLOCKS = 1024, 4096, 4
 
+#: More than products of whole vectors lose where single terms round to 0.
+_TINY = 1e-300
+
 _BLOCK = "block long, dim int, ids binary, vectors binary"
 
 
@@ -73,6 +76,13 @@ def _blocks(vectors: DataFrame, rows: int, copies: int) -> DataFrame:
     return vectors.mapInArrow(build, _BLOCK)
 
 
+def _lengths(x: np.ndarray) -> np.ndarray:
+    """Lengths of rows, also where squares would leave the range of doubles; never too small."""
+    top = np.abs(x).max(axis=1)
+    with np.errstate(over="ignore"):
+        return np.sqrt(((x / np.where(top > 0, top, 1)[:, None]) ** 2).sum(axis=1)) * top * (1 + 1e-12)
+
+
 @dataclass
 class Tile:
     """A block with its int8 codes: a vector is scale * codes + rest, of known lengths."""
@@ -88,10 +98,10 @@ class Tile:
     @classmethod
     def of(cls, dim: int, ids: bytes, vectors: bytes, kind: str) -> Tile:
         x = np.frombuffer(vectors, kind).reshape(-1, dim).astype(np.float64)
-        scale = np.abs(x).max(axis=1) / 127
-        codes = np.rint(x / scale[:, None]).astype(np.int8)
+        scale = np.abs(x).max(axis=1) / 127  # 0 for vectors too small to code, whose rest is all
+        codes = np.rint(x / np.where(scale > 0, scale, np.inf)[:, None]).clip(-127, 127).astype(np.int8)
         back = codes * scale[:, None]
-        return cls(np.frombuffer(ids, np.int64), x, codes, scale, *(np.linalg.norm(v, axis=1) for v in (x, back, x - back)))
+        return cls(np.frombuffer(ids, np.int64), x, codes, scale, *(_lengths(v) for v in (x, back, x - back)))
 
 
 def _survivors(queries: Tile, candidates: Tile, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,17 +109,19 @@ def _survivors(queries: Tile, candidates: Tile, least: np.ndarray, k: int) -> tu
 
     Products of codes are whole numbers, which single precision holds exactly up
     to 1,040 dimensions. They differ from the true product by no more than the
-    lengths of what the codes leave out allow.
+    lengths of what the codes leave out allow. A pair whose bound leaves the
+    range of doubles survives, and so does one that rounding to 0 may hide.
     """
     kind = np.float32 if queries.codes.shape[1] <= 1040 else np.float64
-    about = (queries.codes.astype(kind) @ candidates.codes.T.astype(kind)) * (queries.scale[:, None] * candidates.scale)
-    off = queries.coded[:, None] * candidates.rest + queries.rest[:, None] * candidates.length
-    off += 1e-12 * queries.length[:, None] * candidates.length
-    own = queries.ids[:, None] == candidates.ids
-    if candidates.ids.size > k:
-        low = np.where(own, -np.inf, about - off)
-        least = np.maximum(least, np.partition(low, -k, axis=1)[:, -k])
-    return np.nonzero((about + off >= least[:, None]) & ~own)
+    with np.errstate(over="ignore", invalid="ignore", under="ignore"):
+        about = (queries.codes.astype(kind) @ candidates.codes.T.astype(kind)).astype(np.float64) * queries.scale[:, None] * candidates.scale
+        off = queries.coded[:, None] * candidates.rest + queries.rest[:, None] * candidates.length
+        off += 1e-12 * queries.length[:, None] * candidates.length + _TINY
+        own = queries.ids[:, None] == candidates.ids
+        if candidates.ids.size > k:
+            low = np.where(own | ~np.isfinite(about) | ~np.isfinite(off), -np.inf, about - off)
+            least = np.maximum(least, np.partition(low, -k, axis=1)[:, -k])
+        return np.nonzero(~(about + off < least[:, None]) & ~own)
 
 
 def _products(x: np.ndarray, y: np.ndarray) -> np.ndarray:

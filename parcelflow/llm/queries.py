@@ -35,7 +35,7 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.col("group_doc").alias("class_id"), F.col("class_doc").alias("copy_of"), "n_links", "n_copies", F.col("group_size").alias("class_size"))
+    return found.select("doc_id", F.col("group_doc").alias("class_id"), F.col("class_doc").alias("copy_of"), "n_verified", "n_copies", F.col("group_size").alias("class_size"))
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
