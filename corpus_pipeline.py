@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.llm import decontamination, language, near_duplicates, packing, quality
-from parcelflow.llm.columns import fold, table
+from parcelflow.llm.columns import fold, free_name, table
 from parcelflow.session import new_work_dir
 
 #: Least score and least share of letters in one language that a document needs.
@@ -19,14 +19,17 @@ GOOD, ONE_LANGUAGE = 0.5, 1 / 3
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is ``GOOD`` or better; learned as op1 learns."""
     model = quality.fit(docs.where(fold(3) != 1), table(spark, sf_dir, "labels"))
-    return quality.with_scores(docs, model, "_score").where(F.col("_score") >= GOOD).select(docs.columns)
+    score = free_name(docs, "_score")
+    return quality.with_scores(docs, model, score).where(F.col(score) >= GOOD).select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language, for a third of their letters or more; learned as op8 learns."""
     model = language.fit(docs.where(fold(4) != 2))
-    found = language.with_languages(docs, model, "_found")
-    return found.where((F.col("_found.lang") != "und") & (F.col("_found.score") >= ONE_LANGUAGE)).select(docs.columns)
+    name = free_name(docs, "_found")
+    found = F.col(name)
+    known = (found["lang"] != "und") & (found["score"] >= ONE_LANGUAGE)
+    return language.with_languages(docs, model, name).where(known).select(docs.columns)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
