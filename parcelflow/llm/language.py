@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.columns import by_bytes, texts_of, with_texts_mapped
+from parcelflow.session import new_work_dir
 
 #: Texts of each language that are learned from, those with the least hashes.
 TAUGHT = 400
+_SALTS = 16
 #: What a change of language between two words costs, in nats.
 SWITCH = 12.0
 #: Hash buckets of letter triples.
@@ -138,8 +140,14 @@ def fit(docs: DataFrame) -> Languages:
     gets the counts, no text. Texts that are repeated teach once.
     """
     known = docs.where("text is not null and lang is not null").select("lang", "text").withColumn("_order", F.xxhash64("text"))
-    ranked = known.select("lang", "_order").distinct().withColumn("_rank", F.row_number().over(Window.partitionBy("lang").orderBy("_order")))
-    chosen = ranked.where(F.col("_rank") <= TAUGHT).select("lang", "_order")
+    chosen = known.select("lang", "_order").distinct().withColumn("_salt", F.pmod("_order", F.lit(_SALTS)))
+    for group in (["lang", "_salt"], ["lang"]):  # a frequent language is cut in shares first
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy("_order"))
+        chosen = chosen.withColumn("_rank", rank).where(F.col("_rank") <= TAUGHT).drop("_rank")
+    # Written, so that the join knows how little it is and moves no text.
+    folder = new_work_dir(docs.sparkSession, "taught")
+    chosen.select("lang", "_order").write.parquet(folder)
+    chosen = docs.sparkSession.read.schema(chosen.select("lang", "_order").schema).parquet(folder)
     taught = known.join(chosen, ["lang", "_order"]).groupBy("lang", "_order").agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(batches):
