@@ -55,7 +55,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: Classifiers, hashed signatures and tokenizers have no SQL form; the tests compare each stage with a plain version.
+#: Classifiers, hashed signatures and tokenizers have no SQL form; the tests compare the quality stage
+#: with its operator and run every stage on odd rows and clashing names.
 ORACLE_SQL = None
 
 
