@@ -1,20 +1,28 @@
 """Scores of a log-bilinear language model, trained by noise-contrastive estimation.
 
-Words are predicted in two steps: their class from the classes of the two words
-before, by the log-bilinear model, and the word in its class by its count. The
-most frequent words are a class each; all others share classes by their last two
-bytes, so the model is of bounded size while counts cover every word.
+A word is predicted in two steps, both log-bilinear: its class from the classes of
+the two words before it, and the word in its class from the class of the word before.
+Classes, about as many as the square root of the words, hold words that have like
+neighbours. Rare words share buckets by their last two bytes, which are predicted
+like words; a rare word has its share of its bucket by counts.
+
+What the model learns from are counts over all texts, added up by Spark: of words
+beside words, then of classes after classes and of words after classes. These tables
+are of bounded size, so learning from them takes as long for any corpus, and the
+result does not depend on how the texts are split over tasks.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
+from math import isqrt
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,18 +30,22 @@ from pyspark.sql import functions as F
 from parcelflow.llm.columns import by_bytes, texts_of
 from parcelflow.session import new_work_dir
 
-#: Words with a class of their own, and classes of all others.
-FREQUENT, SHARED = 224, 32
-CLASSES = FREQUENT + SHARED
 #: Words whose counts are sent to every task; the counts of all others are joined.
 HEAD = 50_000
-DIMENSIONS, NOISE, RATE = 24, 64, 0.08
-#: Training samples of one step, and distinct words a task counts before it passes them on.
-STEP, COUNTED = 4096, 200_000
-#: Sets of parameters that one task, or the driver, adds up.
-SUMMED = 64
+#: The most frequent of these are predicted each, if they occur often enough to learn from.
+MODELLED, LEAST = 16_000, 8
+#: Buckets of all other words grow with the words, up to the most.
+FEWEST, MOST = 32, 1024
+#: Kinds of neighbours that words are likened by: the most frequent words, the rest by their rank.
+KEYS, OWN = 128, 96
+#: Numbers of a vector, and rounds over the counts, for classes and for the words in a class.
+CLASS_SIZE, CLASS_ROUNDS = 64, 30
+WORD_SIZE, WORD_ROUNDS = 16, 60
+#: Noise words to each true one, step size, contexts of one step.
+NOISE, RATE, STEP = 64, 0.02, 2048
+#: Distinct words a task counts before it passes them on.
+COUNTED = 200_000
 END = b""  # no word is empty
-_START = CLASSES  # stands before a text
 
 
 def tokens(text: str) -> list[bytes]:
@@ -43,103 +55,124 @@ def tokens(text: str) -> list[bytes]:
     return words
 
 
-def shared_class(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % SHARED
-
-
 @dataclass
-class Classes:
-    """Classes and counts of the head; of bounded size."""
+class Vocabulary:
+    """Counts of the head, and what is predicted: frequent words, then buckets of all others; of bounded size."""
 
     counts: dict[bytes, int]
-    classes: dict[bytes, int]
-    noise: np.ndarray  # how often each class occurs, as a share
-    sizes: np.ndarray  # of each shared class: count of its words, plus one for each and one for unseen words
+    ids: dict[bytes, int]
+    share: np.ndarray  # of all tokens, for each word or bucket
+    sizes: np.ndarray  # of each bucket: count of its words, plus one for each and one for unseen words
+
+    @property
+    def start(self) -> int:
+        """Stands before a text."""
+        return len(self.share)
+
+    def bucket(self, word: bytes) -> int:
+        return zlib.crc32(word[-2:]) % len(self.sizes)
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        known = list(map(self.classes.get, words, repeat(-1)))
-        return np.array([FREQUENT + shared_class(w) if c < 0 else c for w, c in zip(words, known, strict=True)], np.int64)
+        out = np.array(list(map(self.ids.get, words, repeat(-1))), np.int64)
+        rare, first = np.flatnonzero(out < 0), len(self.ids)
+        out[rare] = [first + self.bucket(words[k]) for k in rare.tolist()]
+        return out
 
 
-@dataclass
-class Bilinear:
-    """Context and output vectors, position weights, output biases."""
-
-    context: np.ndarray
-    output: np.ndarray
-    near: np.ndarray
-    far: np.ndarray
-    bias: np.ndarray
-
-    @classmethod
-    def start(cls, noise: np.ndarray) -> Bilinear:
-        rng = np.random.default_rng(3)
-        vectors = rng.normal(0, 0.1, (2 * CLASSES + 1, DIMENSIONS))
-        return cls(vectors[: CLASSES + 1], vectors[CLASSES + 1 :], np.eye(DIMENSIONS), np.eye(DIMENSIONS) * 0.5, np.log(noise))
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in vars(self).values()])
-
-    @classmethod
-    def unflat(cls, values: np.ndarray) -> Bilinear:
-        shapes = (CLASSES + 1, DIMENSIONS), (CLASSES, DIMENSIONS), (DIMENSIONS, DIMENSIONS), (DIMENSIONS, DIMENSIONS), (CLASSES,)
-        parts = np.split(values, np.cumsum([np.prod(s) for s in shapes])[:-1])
-        return cls(*(p.reshape(s).copy() for p, s in zip(parts, shapes, strict=True)))
-
-    def log_probabilities(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
-        """Normalised natural logarithms of all classes after each context."""
-        scores = (self.context @ self.near).astype(np.float32)[near] + (self.context @ self.far).astype(np.float32)[far]
-        scores = scores @ self.output.T.astype(np.float32) + self.bias.astype(np.float32)
-        scores -= scores.max(axis=1, keepdims=True)
-        return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+def sequence(ids: np.ndarray, sizes: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts in a row, two starts before each text; and where the words are."""
+    row = np.insert(ids, np.repeat(np.cumsum(sizes) - sizes, 2), start)
+    return row, np.flatnonzero(row != start)
+
 
+def likeness(beside: np.ndarray) -> np.ndarray:
+    """Vectors of words from counts (side, word, key) of their neighbours: main directions of the roots of the shares."""
+    rows = []
+    for counts in beside + 1e-9:
+        rows.append(np.sqrt(counts / counts.sum(axis=1, keepdims=True)) - np.sqrt(counts.sum(axis=0) / counts.sum()))
+    rows = np.concatenate(rows, axis=1)
+    _, axes = np.linalg.eigh((rows * beside[0].sum(axis=1)[:, None]).T @ rows)
+    return rows @ axes[:, -32:]
 
-def contexts(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The classes of the two words before each word, inside its text."""
-    begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    near = np.concatenate([[_START], classes[:-1]])
-    near[begins] = _START
-    far = np.concatenate([[_START], near[:-1]])
-    far[begins] = _START
-    return near, far
 
+def classes_of(vectors: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Classes of words: all words cut in two along their main direction again and again, largest part first.
 
-def _row_sums(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    first = np.flatnonzero(np.diff(rows, prepend=-1))
-    out = np.zeros((n, values.shape[1]))
-    out[rows[first]] = np.add.reduceat(values[order], first)
+    A cut halves the mean of the words' number and of their tokens, so classes are of bounded work.
+    """
+    parts = [np.arange(len(share))]
+    for _ in range(isqrt(len(share) - 1) if len(share) > 1 else 0):
+        worth = [len(p) / len(share) + share[p].sum() if len(p) > 1 else 0 for p in parts]
+        part = parts.pop(int(np.argmax(worth)))
+        own = share[part] / share[part].sum()
+        apart = vectors[part] - own @ vectors[part]
+        _, axes = np.linalg.eigh((apart * own[:, None]).T @ apart)
+        order = np.argsort(apart @ axes[:, -1], kind="stable")
+        cut = int(np.searchsorted(np.cumsum(own[order] + 1 / len(part)), 1.0))
+        cut = min(max(cut, 1), len(part) - 1)
+        parts += [part[order[:cut]], part[order[cut:]]]
+    out = np.empty(len(share), np.int64)
+    for k, part in enumerate(parts):
+        out[part] = k
     return out
 
 
-def train(model: Bilinear, squares: list[np.ndarray], samples: tuple[np.ndarray, ...], noise: np.ndarray, rng: np.random.Generator) -> None:
-    """Steps of noise-contrastive estimation over weighted samples (near, far, word, count), in place.
+def fit(counts: np.ndarray, size: int, rounds: int) -> np.ndarray:
+    """Normalised natural logarithms of what follows each context, from counts (far, near, target).
 
-    Each step tells words from ``NOISE`` draws of the class distribution, which
-    all its samples share; step sizes follow the squares of earlier gradients.
+    The score of a target is the product of its vector with the sum of the context's
+    two vectors, plus its bias. Noise-contrastive estimation tells true targets from
+    ``NOISE`` times as many by their shares; as all targets are at hand, noise enters
+    by its expected value and is not drawn. Steps follow the running squares of the
+    gradients and get smaller in the second half.
     """
-    order = rng.permutation(len(samples[0]))
-    parameters = list(vars(model).values())
-    for k in range(0, len(order), STEP):
-        near, far, word, count = (s[order[k : k + STEP]] for s in samples)
-        weight = count / count.sum()
-        drawn = rng.choice(CLASSES, NOISE, p=noise)
-        ratio = np.log(NOISE * noise)
-        a, b = model.context[near], model.context[far]
-        made = a @ model.near + b @ model.far
-        true = (made * model.output[word]).sum(axis=1) + model.bias[word] - ratio[word]
-        false = made @ model.output[drawn].T + model.bias[drawn] - ratio[drawn]
-        up = weight / (1 + np.exp(np.clip(true, -30, 30)))
-        down = -weight[:, None] / (1 + np.exp(-np.clip(false, -30, 30)))
-        g_made = up[:, None] * model.output[word] + down @ model.output[drawn]
-        g_output = _row_sums(word, up[:, None] * made, CLASSES)
-        np.add.at(g_output, drawn, down.T @ made)
-        g_bias = np.bincount(word, up, CLASSES) + np.bincount(drawn, down.sum(axis=0), CLASSES)
-        g_context = _row_sums(near, g_made @ model.near.T, CLASSES + 1) + _row_sums(far, g_made @ model.far.T, CLASSES + 1)
-        for p, s, g in zip(parameters, squares, (g_context, g_output, a.T @ g_made, b.T @ g_made, g_bias), strict=True):
-            s += g * g
-            p += RATE * g / np.sqrt(s + 1e-12)
+    far_n, near_n, targets = counts.shape
+    rng, total = np.random.default_rng(3), max(float(counts.sum()), 1.0)
+    noise = counts.sum(axis=(0, 1)) + 1.0
+    noise /= noise.sum()
+    ratio = (NOISE * noise).astype(np.float32)
+    far, near, output = (rng.normal(0, 0.3, (n, size)).astype(np.float32) for n in (far_n, near_n, targets))
+    bias = np.log(noise).astype(np.float32)
+    parameters = [far, near, output, bias]
+    means, squares = ([np.zeros_like(p) for p in parameters] for _ in range(2))
+    some = max(1, STEP // near_n)
+    starts, step = np.arange(0, far_n, some), 0
+    for turn in range(rounds):
+        rate = RATE * min(1.0, 2 * (1 - turn / rounds))
+        for k in rng.permutation(starts):
+            true = counts[k : k + some].reshape(-1, targets).astype(np.float32)
+            seen = true.sum(axis=1, keepdims=True)
+            made = (far[k : k + some, None] + near).reshape(-1, size)
+            odds = np.clip(made @ output.T + (bias - np.log(ratio)), -30, 30)
+            change = (true - (true + seen * ratio) / (1 + np.exp(-odds))) / np.float32(total)
+            back = (change @ output).reshape(-1, near_n, size)
+            g_far = np.zeros_like(far)
+            g_far[k : k + some] = back.sum(axis=1)
+            step += 1
+            for p, m, s, g in zip(parameters, means, squares, (g_far, back.sum(axis=0), change.T @ made, change.sum(axis=0)), strict=True):
+                m += (g - m) * np.float32(0.1)
+                s += (g * g - s) * np.float32(0.01)
+                p += np.float32(rate / (1 - 0.9**step)) * m / (np.sqrt(s / np.float32(1 - 0.99**step)) + np.float32(1e-12))
+    out = np.empty(counts.shape, np.float32)
+    for k in range(far_n):
+        scores = ((far[k] + near) @ output.T + bias).astype(np.float64)
+        scores -= scores.max(axis=1, keepdims=True)
+        out[k] = scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+    return out
+
+
+@dataclass
+class Model:
+    """Log10 probabilities: of classes after two classes, and of words in their class after a class."""
+
+    of: np.ndarray  # the class of each word and bucket, and of the start
+    classes: np.ndarray  # (far, near, class)
+    words: np.ndarray  # (near, word)
+
+    def logs(self, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """For the words of a sequence at the given places."""
+        of = self.of[row]
+        return self.classes[of[at - 2], of[at - 1], of[at]].astype(np.float64) + self.words[of[at - 1], row[at]]
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,77 +196,123 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _head(counts: DataFrame) -> list:
-    """The words at least as frequent as the ``HEAD`` most frequent, without those on the border."""
+    """About the ``HEAD`` most frequent words; of those on the border, a share by hash."""
     level = F.floor(F.log2("n") * 8).cast("int")
-    left, least = HEAD, None
+    left, border, share = HEAD, -1, 0.0
     for row in counts.groupBy(level.alias("level")).agg(F.count("*").alias("words")).orderBy(F.col("level").desc()).collect():
-        left -= row["words"]
-        if left < 0:
+        if row["words"] > left:
+            border, share = row["level"], left / row["words"]
             break
-        least = row["level"]
-    return [] if least is None else counts.where(level >= least).orderBy(F.col("n").desc(), "word").collect()
+        left -= row["words"]
+    dealt = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+    return counts.where((level > border) | ((level == border) & dealt)).orderBy(F.col("n").desc(), "word").collect()
 
 
-def _classes(counts: DataFrame) -> Classes:
+def vocabulary(counts: DataFrame, distinct: int) -> Vocabulary:
+    """What is predicted, from word, n of all texts."""
     head = [(bytes(r["word"]), r["n"]) for r in _head(counts)]
-    own = {word: k for k, (word, _) in enumerate(head[:FREQUENT])}
-    shared = F.crc32(F.expr("substring(word, -2, 2)")) % SHARED
-    totals = {r["class"]: (r["n"], r["words"]) for r in counts.groupBy(shared.alias("class")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect()}
-    sizes, share = np.ones(SHARED), np.ones(CLASSES)
-    for k, (n, words) in totals.items():
-        sizes[k] += n + words
-        share[FREQUENT + k] += n
-    for word, n in head[:FREQUENT]:
-        sizes[shared_class(word)] -= n + 1
-        share[FREQUENT + shared_class(word)] -= n
-        share[own[word]] += n
-    return Classes(dict(head), own, share / share.sum(), sizes)
-
-
-def _trained(docs: DataFrame, known: Classes) -> Bilinear:
-    """One pass over all texts: each task trains from the same start, and the results are averaged by their words."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(known)
+    ids = {word: k for k, (word, n) in enumerate(head[:MODELLED]) if n >= LEAST}
+    made = Vocabulary(dict(head), ids, np.ones(0), np.ones(min(MOST, max(FEWEST, isqrt(distinct) // 4))))
+    share = np.ones(len(ids) + len(made.sizes))
+    bucket = F.crc32(F.expr("substring(word, -2, 2)")) % len(made.sizes)
+    for k, n, words in counts.groupBy(bucket.alias("bucket")).agg(F.sum("n"), F.count("*")).collect():
+        made.sizes[k] += n + words
+        share[len(ids) + k] += n
+    for word, k in ids.items():
+        n, of = made.counts[word], made.bucket(word)
+        made.sizes[of] -= n + 1
+        share[len(ids) + of] -= n
+        share[k] += n
+    made.share = share / share.sum()
+    return made
+
+
+_Cells = Callable[[np.ndarray, np.ndarray], list[np.ndarray]]
+
+
+def _cells(docs: DataFrame, known, size: int, cells: _Cells, part: Callable[[np.ndarray], np.ndarray] = np.zeros_like) -> DataFrame:
+    """part, cell, n: how often every cell occurs in all texts, and the part it belongs to.
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        model = Bilinear.start(known.noise)
-        squares = [np.zeros_like(p) for p in vars(model).values()]
-        seen, rng = 0, np.random.default_rng(7)
+    ``cells`` gives them, below ``size``, for a sequence and the places of its words.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, found = known.value, np.zeros(size, np.int64)
         for batch in by_bytes(batches, "text"):
             words = [tokens(t) for t in texts_of(batch)]
-            classes = known.of([w for text in words for w in text])
-            near, far = contexts(classes, np.array([len(w) for w in words]))
-            keys, count = np.unique((near * (CLASSES + 1) + far) * CLASSES + classes, return_counts=True)
-            train(model, squares, (keys // CLASSES // (CLASSES + 1), keys // CLASSES % (CLASSES + 1), keys % CLASSES, count), known.noise, rng)
-            seen += len(classes)
-        if seen:
-            yield _weighted(model.flat() * seen, seen)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, seen = 0.0, 0
-        for batch in batches:
-            for v, n in zip(batch.column("values"), batch.column("seen").to_pylist(), strict=True):
-                values, seen = values + np.frombuffer(v.as_buffer()), seen + n
-        if seen:
-            yield _weighted(values, seen)
-
-    def stored(df: DataFrame) -> DataFrame:
-        folder = new_work_dir(spark, "parameters")
-        df.write.parquet(folder)
-        return spark.read.parquet(folder)
-
-    parts = stored(docs.select("text").mapInArrow(learn, "values binary, seen long"))
-    while (n := parts.count()) > SUMMED:
-        parts = stored(parts.repartition(-(-n // SUMMED)).mapInArrow(add, "values binary, seen long"))
-    rows = parts.collect()
-    if not rows:
-        return Bilinear.start(known.noise)
-    return Bilinear.unflat(sum(np.frombuffer(r["values"]) for r in sorted(rows, key=lambda r: bytes(r["values"]))) / sum(r["seen"] for r in rows))
-
-
-def _weighted(values: np.ndarray, seen: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([values.tobytes()], pa.binary()), pa.array([seen], pa.int64())], ["values", "seen"])
+            lengths = np.array([len(w) for w in words])
+            for some in cells(*sequence(vocabulary.of([w for own in words for w in own]), lengths, vocabulary.start)):
+                at, n = np.unique(some, return_counts=True)
+                found[at] += n
+        at = np.flatnonzero(found)
+        for some in np.array_split(at, len(at) // COUNTED + 1):
+            yield pa.RecordBatch.from_arrays([pa.array(part(some)), pa.array(some), pa.array(found[some])], ["part", "cell", "n"])
+
+    return docs.select("text").mapInArrow(count, "part long, cell long, n long").groupBy("part", "cell").agg(F.sum("n").alias("n"))
+
+
+def _alike(docs: DataFrame, known, words: int) -> np.ndarray:
+    """Counts (side, word, key) of the kinds of words before and after each word."""
+    kind = np.arange(words + 1)
+    kind[OWN:] = OWN + kind[OWN:] % (KEYS - OWN - 1)
+    kind[-1] = KEYS - 1
+
+    def cells(row: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        after = kind[np.append(row[1:], words)]
+        return [row[at] * KEYS + kind[row[at - 1]], (words + row[at]) * KEYS + after[at]]
+
+    found = _cells(docs, known, 2 * words * KEYS, cells).toArrow()
+    out = np.zeros(2 * words * KEYS)
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return out.reshape(2, words, KEYS)
+
+
+def learned(docs: DataFrame, known: Vocabulary) -> Model:
+    """The model of all texts; only tables whose size the vocabulary bounds are collected."""
+    spark, words = docs.sparkSession, len(known.share)
+    shared = spark.sparkContext.broadcast(known)
+    own = classes_of(likeness(_alike(docs, shared, words)), known.share)
+    n = int(own.max()) + 1
+    of = np.append(own, n)
+    after_two = (n + 1) ** 2 * n
+
+    def cells(row: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+        c = of[row]
+        return [(c[at - 2] * (n + 1) + c[at - 1]) * n + c[at], after_two + c[at - 1] * words + row[at]]
+
+    members = [np.flatnonzero(own == k) for k in range(n)]
+    place = np.empty(words, np.int64)
+    for m in members:
+        place[m] = np.arange(len(m))
+
+    def fitted(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+        k, cell, counts = key[0], cells["cell"].to_numpy(), cells["n"].to_numpy()
+        if k == n:
+            table = np.zeros((n + 1, n + 1, n))
+            table.ravel()[cell] = counts
+            logs = fit(table, CLASS_SIZE, CLASS_ROUNDS)
+        else:
+            table = np.zeros((1, n + 1, len(members[k])))
+            near, word = np.divmod(cell - after_two, words)
+            table[0, near, place[word]] = counts
+            logs = fit(table, WORD_SIZE, WORD_ROUNDS)
+        return pd.DataFrame({"part": [k], "logs": [(logs / np.float32(np.log(10))).tobytes()]})
+
+    def part(cell: np.ndarray) -> np.ndarray:
+        return np.where(cell < after_two, n, own[(cell - after_two) % words])
+
+    counted = _cells(docs, shared, after_two + (n + 1) * words, cells, part)
+    rows = counted.groupBy("part").applyInPandas(fitted, "part long, logs binary").collect()
+    model = Model(of, np.empty(0), np.empty((n + 1, words), np.float32))
+    for k, logs in rows:
+        logs = np.frombuffer(logs, np.float32)
+        if k == n:
+            model.classes = logs.reshape(n + 1, n + 1, n)
+        else:
+            model.words[:, members[k]] = logs.reshape(n + 1, -1)
+    for k in set(range(n)) - {r["part"] for r in rows}:  # no word of it was seen
+        model.words[:, members[k]] = -np.log10(len(members[k]))
+    return model
 
 
 _SCORED = "n_tokens long, n_known long, counts_log double, model_log double, words array<binary>, times array<int>"
@@ -254,8 +333,8 @@ def language_scores(train_docs: DataFrame, docs: DataFrame) -> DataFrame:
     word_counts(train_docs).write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
     seen, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    known = _classes(counts)
-    model = _trained(train_docs, known) if seen else None
+    known = vocabulary(counts, distinct)
+    model = learned(train_docs, known) if seen else None
     shared = spark.sparkContext.broadcast((known, model))
     names = [c for c in docs.columns if c != "text"]
 
@@ -266,20 +345,13 @@ def language_scores(train_docs: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in by_bytes(batches, "text"):
             words = [tokens(t) for t in texts_of(batch)]
             lengths = np.array([len(w) for w in words])
-            classes = known.of([w for own in words for w in own])
             text = np.repeat(np.arange(len(words)), lengths)
-            modelled = np.where(classes < FREQUENT, 0.0, -sizes[np.maximum(classes - FREQUENT, 0)])
-            if model is not None:
-                near, far = contexts(classes, lengths)
-                pairs, of = np.unique(near * (CLASSES + 1) + far, return_inverse=True)
-                order = np.argsort(of, kind="stable")
-                ends = np.searchsorted(of[order], np.arange(0, len(pairs) + STEP, STEP))
-                for k, (low, high) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-                    some = pairs[k * STEP : (k + 1) * STEP]
-                    table = model.log_probabilities(some // (CLASSES + 1), some % (CLASSES + 1))
-                    at = order[low:high]
-                    modelled[at] += table[of[at] - k * STEP, classes[at]] / np.log(10)
             flat = [w for own in words for w in own]
+            ids = known.of(flat)
+            rare = ids >= len(known.ids)
+            modelled = np.where(rare, -sizes[np.maximum(ids - len(known.ids), 0)], 0.0)
+            if model is not None:
+                modelled += model.logs(*sequence(ids, lengths, known.start))
             head = np.fromiter(map(logs.get, flat, repeat(-1.0)), np.float64, len(flat))
             outside = np.flatnonzero(head < 0)
             head[outside] = 0
@@ -289,7 +361,7 @@ def language_scores(train_docs: DataFrame, docs: DataFrame) -> DataFrame:
             n, n_docs = lengths, len(words)
             n_known = n - np.bincount(text[outside], minlength=n_docs)
             counts_log = np.bincount(text, head, n_docs)
-            model_log = np.bincount(text, modelled + np.where(classes >= FREQUENT, head, 0), n_docs)
+            model_log = np.bincount(text, modelled + np.where(rare, head, 0), n_docs)
             tail, times = [list(t) for t in tails], [list(t.values()) for t in tails]
             yield pa.RecordBatch.from_arrays(
                 [

@@ -99,7 +99,8 @@ def test_base_scores_are_by_counts_and_the_model_beats_them(spark):
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(w in counts for w in own), n)
         assert math.isclose(r.base_score, base, rel_tol=1e-9) and r.held_out == (crc(r.doc_id, 7) == 2)
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held)
 
 
 def test_language_model_of_odd_rows(spark, monkeypatch):
@@ -114,11 +115,77 @@ def test_language_model_of_odd_rows(spark, monkeypatch):
     assert language_model.language_scores(docs, no_documents(spark).select("doc_id", "text")).collect() == []
 
 
-def test_model_probabilities_sum_to_one():
-    noise = np.arange(1, language_model.CLASSES + 1, dtype=float)
-    model = language_model.Bilinear.start(noise / noise.sum())
-    table = model.log_probabilities(np.array([0, 5, language_model.CLASSES]), np.array([3, language_model.CLASSES, 9]))
-    assert np.allclose(np.exp(table).sum(axis=1), 1, atol=1e-5)
+def small_corpus(spark):
+    """Documents of sf0.001 by their number, and a model of them with few words."""
+    docs = given(spark, "documents").select("doc_id", "text")
+    counts = language_model.word_counts(docs)
+    known = language_model.vocabulary(counts, counts.count())
+    return docs, counts, known, language_model.learned(docs, known)
+
+
+def test_model_probabilities_sum_to_one(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "HEAD", 300)
+    _, counts, known, model = small_corpus(spark)
+    n = len(model.classes) - 1
+    of, words = model.of[:-1], len(known.share)
+    for far, near in ((n, n), (0, n), (3, 1), (n - 1, n - 1)):
+        each = 10.0 ** (model.classes[far, near][of] + model.words[near])  # words and buckets
+        assert math.isclose(each.sum(), 1, rel_tol=1e-4)
+    inside = np.zeros(len(known.sizes))
+    for r in counts.collect():
+        if bytes(r.word) not in known.ids:
+            inside[known.bucket(bytes(r.word))] += r.n + 1
+    assert (inside + 1 == known.sizes).all() and words == len(known.ids) + len(inside)
+
+
+def test_scores_by_brute_force(spark, monkeypatch):
+    """Counts by plain loops, the same learning step, and every score word by word; equal for any split of the texts."""
+    monkeypatch.setattr(language_model, "HEAD", 300)
+    docs, counts, known, model = small_corpus(spark)
+    of, n, words, ids = model.of, len(model.classes) - 1, len(known.share), known.ids
+    texts = {r.doc_id: [None, None, *language_model.tokens(r.text or "")] for r in docs.collect()}
+    number = lambda w: words if w is None else ids[w] if w in ids else len(ids) + known.bucket(w)
+    two, one = np.zeros((n + 1, n + 1, n)), np.zeros((n + 1, words))
+    for text in texts.values():
+        for far, near, word in zip(text, text[1:], text[2:]):
+            two[of[number(far)], of[number(near)], of[number(word)]] += 1
+            one[of[number(near)], number(word)] += 1
+    classes = language_model.fit(two, language_model.CLASS_SIZE, language_model.CLASS_ROUNDS) / math.log(10)
+    logs = np.empty_like(one)
+    for k in range(n):
+        own = np.flatnonzero(of[:-1] == k)
+        logs[:, own] = language_model.fit(one[None][:, :, own], language_model.WORD_SIZE, language_model.WORD_ROUNDS)[0] / math.log(10)
+    seen = {bytes(r.word): r.n for r in counts.collect()}
+
+    def plain(text):
+        total = 0.0
+        for far, near, word in zip(text, text[1:], text[2:]):
+            w = number(word)
+            total += classes[of[number(far)], of[number(near)], of[w]] + logs[of[number(near)], w]
+            if word not in ids:
+                total += math.log10((seen.get(word, 0) + 1) / known.sizes[known.bucket(word)])
+        return total
+
+    for split in (1, 7):
+        got = language_model.language_scores(docs.repartition(split), docs).collect()
+        assert all(math.isclose(r.score, plain(texts[r.doc_id]), rel_tol=1e-4, abs_tol=1e-3) for r in got)
+
+
+def test_learning_finds_what_follows(monkeypatch):
+    monkeypatch.setattr(language_model, "RATE", 0.05)
+    counts = np.zeros((2, 3, 3))
+    for far in range(2):
+        for near in range(3):
+            counts[far, near, near] = 900
+            counts[far, near, (near + 1 + far) % 3] = 100
+    learned = np.exp(language_model.fit(counts, 8, 800))
+    assert np.abs(learned - counts / 1000).max() < 0.06
+
+
+def test_the_head_is_bounded_when_all_words_are_equally_frequent(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "HEAD", 100)
+    even = spark.range(1000).selectExpr("cast(cast(id as string) as binary) as word", "3L as n")
+    assert 50 < len(language_model._head(even)) < 200
 
 
 def plain_text(page):
