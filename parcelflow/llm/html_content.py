@@ -29,6 +29,8 @@ DEALT = 64
 HELD = 2000
 #: Texts that a template node counts; rarer ones make room, and counts are then lower bounds.
 COUNTS = 128
+#: Children of a template node beyond twice those of a page; with more, the rarer half is left out, and counts of what comes again are lower bounds.
+CHILDREN = 128
 #: Levels of a template; all text below the last is text of its element. Extraction itself has no limit.
 LEVELS = 100
 
@@ -259,7 +261,17 @@ def merged(a: list, b: list) -> list:
     """The template of the pages of two templates with the same root."""
     children = [merged(x, y) if x and y else x or y for x, y in pairs(a[3], b[3])]
     texts = a[2] | {text: n + a[2].get(text, 0) for text, n in b[2].items()}
-    return _bounded([a[0], a[1] + b[1], texts, children, a[4] + b[4]])
+    return _pruned(_bounded([a[0], a[1] + b[1], texts, children, a[4] + b[4]]))
+
+
+def _pruned(node: list) -> list:
+    """Leave out the rarest children of a node with far more than its pages have: frame is on nearly all pages, so it is among those that stay."""
+    most = CHILDREN + 2 * sum(child[1] for child in node[3]) // node[1]
+    if len(node[3]) > most:
+        order = sorted(range(len(node[3])), key=lambda k: -node[3][k][1])
+        node[3] = [node[3][k] for k in sorted(order[: most // 2])]
+        node[4] += 1  # what was left out is on some pages only
+    return node
 
 
 def _varies(node: list, pages: int) -> bool:

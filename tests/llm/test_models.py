@@ -282,3 +282,35 @@ def test_deep_nesting_is_read_whole(spark):
     got = {r.page_id: r.text.split() for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert all(got[k][1:-1] == [str(n) for n in range(5000)] and got[k][-1] == str(k) for k in range(8)), {k: got[k][:5] for k in range(8)}
     assert got[9] == ["One"]
+
+
+def test_templates_of_mixed_markup_are_bounded_and_keep_the_frame():
+    rng = np.random.default_rng(4)
+
+    def page(k):
+        boxes = "".join(f"<div class=box{'abcdefghijklmnopqrstuvwxyz'[a]}{'abcdefghijklmnopqrstuvwxyz'[b]}>Own text {k} {a} {b}</div>" for a, b in rng.integers(0, 26, (12, 2)))
+        return f"<div class=top>Our site</div><div class=body>{boxes}<div class=offer>Sign up today</div></div><div class=end>All rights kept</div>"
+
+    def widest(node):
+        return max([len(node[3]), *map(widest, node[3])])
+
+    pages = [page(k) for k in range(400)]
+    template, seen = shape(parse(pages[0])), []
+    for own in pages[1:]:
+        template = merged(template, shape(parse(own)))
+        seen.append(widest(template))
+    assert max(seen) <= 128 + 2 * 16 and max(seen[200:]) <= max(seen[:200])
+    for own in pages[:5]:
+        text = main_text(own, template)
+        assert text.count("Own text") == 12 and not any(t in text for t in ("Our site", "Sign up", "All rights"))
+
+
+def test_the_frame_below_very_long_articles_is_found():
+    def page(k):
+        parts = "".join(f"<h2>Part {n} of {k}</h2><p>Text {n} of {k}</p>" for n in range(60 + 40 * (k % 5)))
+        return f"<article>{parts}<div class=offer>Sign up today</div></article>"
+
+    template = induced([page(k) for k in range(20)])
+    for k in (3, 4, 9):
+        text = main_text(page(k), template)
+        assert "Sign up" not in text and text.count("\n") == 2 * (60 + 40 * (k % 5)) - 1
