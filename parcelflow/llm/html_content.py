@@ -313,12 +313,17 @@ def main_text(html: str, template: list | None) -> str:
     the text that is no frame, else the whole page is. Text that the template calls
     frame is left out, but for regions of which it is most: these are copies.
     """
+    return _main_text(html, usable(template) if template else None)
+
+
+def _main_text(html: str, known: list | None) -> str:
+    """The same for a template that is usable."""
     root = parse(html)
-    known = usable(template) if template else None
     frame = _frame_nodes(root, known) if known else set()
     page = _blocks([root], frame, whole=True)
     regions = _regions(root)
-    marked, plain = _blocks(regions, frame), _blocks(regions, set())
+    marked = _blocks(regions, frame)
+    plain = _blocks(regions, set()) if frame else marked
     if 2 * len(marked) < len(plain):
         marked = plain
     return marked if regions and 2 * len(marked) >= len(page) else page
@@ -468,7 +473,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     if len(known) > HELD:
                         known.clear()
                     known[template] = json.loads(template)
-                out.append(main_text(html or "", known.get(template)))
+                out.append(_main_text(html or "", known.get(template)))
             return pa.array(out, pa.string())
 
         return text
