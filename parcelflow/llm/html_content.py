@@ -3,7 +3,8 @@
 The trees of a host's pages are aligned by simple tree matching and merged into
 one template. Elements that hold the same text on nearly all pages are the site's
 frame, inside a marked article too; slots whose text varies are content. Marked-up
-menus, adverts and the like are no content on any page.
+menus, adverts and the like are no content on any page, nor are reader comments,
+told by their repeated records. A page is parsed once, into a table of trees.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ PAGES, SHARE = 3, 0.9
 DEALT = 64
 #: Templates that a task holds before it passes them on.
 HELD = 2000
-#: Texts that a template node counts; rarer ones make room, and counts are then lower bounds.
+#: Texts that a template node counts, beyond eight times those of a page; rarer ones make room, and counts then fall short by about an eighth of the pages at most.
 COUNTS = 128
+#: Share of the pages that must be counted for a text that makes room for others took from.
+SURE = 0.775
 #: Children of a template node beyond twice those of a page; with more, the rarer half is left out, and counts of what comes again are lower bounds.
 CHILDREN = 128
 #: Levels of a template; all text below the last is text of its element. Extraction itself has no limit.
@@ -58,6 +61,17 @@ _LINK_CLASSES = frozenset(
 )
 _HEADER_CLASSES = frozenset(("header", "site-header", "page-header"))
 _NEVER_BY_CLASS = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+#: Words in compound names of boxes for adverts, side columns and reader comments, and words by which a name only says something about them.
+_ADVERT_WORDS = frozenset("ad ads advert adverts advertisement sponsored".split())
+_SIDE_WORDS = frozenset("sidebar rail".split())
+_COMMENT_WORDS = frozenset("comment comments replies disqus".split())
+_ABOUT_WORDS = frozenset("no not without has with in on off open closed enabled disabled allowed hide hidden free count".split())
+#: Names of the parts of a comment that say who wrote it, and when.
+_WHO_WORDS = frozenset("author user username commenter avatar".split())
+_WHEN_WORDS = frozenset("date time timestamp when posted ago".split())
+_BOXES = frozenset("div section ul ol li dl figure table article".split())
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+_TEXT_TAGS = frozenset("p pre blockquote li dd td".split())
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
@@ -95,9 +109,9 @@ class _Builder(HTMLParser):
             or (tag == "header" and not in_article)
             or (given.get("role") or "").lower() in _FRAME_ROLES
         )
-        classes = () if frame or not words or tag in _NEVER_BY_CLASS else tuple(f"{given.get('class') or ''} {given.get('id') or ''}".lower().split())
+        classes = () if frame or not words or tag in _NEVER_BY_CLASS else tuple(f"{given.get('class') or ''} {given.get('id') or ''}".split())
         if in_article:
-            classes = tuple(c for c in classes if c not in _HEADER_CLASSES)
+            classes = tuple(c for c in classes if c.lower() not in _HEADER_CLASSES)
         node = Node(tag, ".".join([tag, *(w for w in words if not w.isdigit())]), frame, classes)
         node.in_article = in_article or tag in ("article", "main")
         self._open[-1].children.append(node)
@@ -141,8 +155,12 @@ def _settle(root: Node) -> None:
     for node in order:
         if not node.frame:
             order += [c for c in node.children if not isinstance(c, str)]
-    if not any(node.classes for node in order):
-        return
+    if any(node.classes for node in order):
+        _settle_names(root, order)
+    _settle_boxes(root)
+
+
+def _settle_names(root: Node, order: list[Node]) -> None:
     size: dict[int, int] = {}
     links: dict[int, int] = {}
     regions: set[int] = set()
@@ -153,16 +171,133 @@ def _settle(root: Node) -> None:
         if not node.frame and (node.tag in ("article", "main") or any(id(c) in regions for c in inside)):
             regions.add(id(node))
     for node in order:
-        named = any(c in _FRAME_CLASSES or c in _HEADER_CLASSES for c in node.classes)
-        linked = not named and 2 * links[id(node)] > size[id(node)] and any(c in _LINK_CLASSES for c in node.classes)
+        classes = [c.lower() for c in node.classes]
+        named = any(c in _FRAME_CLASSES or c in _HEADER_CLASSES for c in classes)
+        linked = not named and 2 * links[id(node)] > size[id(node)] and any(c in _LINK_CLASSES for c in classes)
         node.frame = node.frame or ((named or linked) and id(node) not in regions and (id(root) in regions or 2 * size[id(node)] <= size[id(root)]))
 
 
+def _compound(node: Node, wanted: frozenset[str]) -> bool:
+    """Whether a class or id of several words has one of ``wanted`` and says nothing else about it."""
+    return any(len(words) > 1 and wanted.intersection(words) and not _ABOUT_WORDS.intersection(words) for words in map(_words, node.classes))
+
+
+def _settle_boxes(root: Node) -> None:
+    """Make frame the boxes whose compound names and whose structure both tell adverts, side columns or reader comments, and signed and dated records.
+
+    Adverts hold no heading, side columns stand outside articles, comments follow a
+    heading or paragraph and, below a heading of their own, are repeated records.
+    """
+    order: list[Node] = []
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if not node.frame:
+            order.append(node)
+            todo += [c for c in reversed(node.children) if not isinstance(c, str)]
+    holds: set[int] = set()  # an article or main, or what holds one
+    headed: set[int] = set()  # a heading, or what holds one
+    for node in reversed(order):
+        inside = [c for c in node.children if not isinstance(c, str) and not c.frame]
+        if node.tag in ("article", "main") or any(id(c) in holds for c in inside):
+            holds.add(id(node))
+        if node.tag in _HEADINGS or any(id(c) in headed for c in inside):
+            headed.add(id(node))
+    place = {id(node): k for k, node in enumerate(order)}
+    first = next((k for k, node in enumerate(order) if node.tag == "p" or node.tag in _HEADINGS), len(order))
+    for k, node in enumerate(order):
+        begun = k > first
+        for run in _record_runs(node) if node.children else ():
+            if place.get(id(run[0]), 0) > first and not any(id(record) in holds for record in run) and all(_signed(record) for record in run):
+                for record in run:
+                    record.frame = True
+        if node.tag in _BOXES and node.classes and id(node) not in holds:
+            node.frame = node.frame or (
+                (id(node) not in headed and _compound(node, _ADVERT_WORDS))
+                or (not node.in_article and _compound(node, _SIDE_WORDS))
+                or (begun and _compound(node, _COMMENT_WORDS) and (id(node) not in headed or any(True for box in _boxes(node) for _ in _record_runs(box))))
+            )
+
+
+def _boxes(node: Node) -> Iterator[Node]:
+    todo = [node]
+    while todo:
+        box = todo.pop()
+        yield box
+        todo += [c for c in box.children if not isinstance(c, str) and c.tag in _BOXES]
+
+
+def _record_runs(node: Node) -> Iterator[list[Node]]:
+    """Neighbouring boxes of one name and of one first part, two or more, that hold parts and no part of the outline."""
+    run: list[Node] = []
+    kind = None
+    for child in [*node.children, None]:
+        if isinstance(child, str):
+            if not child.isspace():
+                kind = None
+            continue
+        parts = [c for c in child.children if not isinstance(c, str)] if child is not None and child.tag in _BOXES else []
+        own = (child.name, parts[0].name) if parts and len(parts) > 1 and not any(c.tag in ("h1", "h2") for c in parts) else None
+        if own is None or own != kind:
+            if len(run) > 1:
+                yield run
+            run, kind = [], own
+        if own is not None:
+            run.append(child)
+
+
+def _signed(record: Node) -> bool:
+    """Whether a record says who wrote it, and when."""
+    who = when = False
+    todo = [record]
+    while todo and not (who and when):
+        node = todo.pop()
+        words = node.name.split(".")[1:] if node is not record else ()
+        who = who or node.tag == "cite" or not _WHO_WORDS.isdisjoint(words)
+        when = when or node.tag == "time" or not _WHEN_WORDS.isdisjoint(words)
+        todo += [c for c in node.children if not isinstance(c, str)]
+    return who and when
+
+
+# A tree as a flat list, of any nesting: an element's tag, name and marks, its children, then 0.
+
+
+def packed(root: Node) -> str:
+    """The children of a page's root as JSON; scripts and styles are left out."""
+    out: list = []
+    todo: list = [0, *reversed(root.children)]
+    while todo:
+        child = todo.pop()
+        if child == 0 or isinstance(child, str):
+            out.append(child)
+        elif child.tag not in ("script", "style"):
+            out.append([child.tag, child.name, child.frame + 2 * child.in_article])
+            todo.append(0)
+            todo += reversed(child.children)
+    return json.dumps(out)
+
+
+def unpacked(tree: str) -> Node:
+    root = Node("#root", "#root", False)
+    path = [root]
+    for child in json.loads(tree):
+        if child == 0:
+            path.pop()
+        elif isinstance(child, str):
+            path[-1].children.append(child)
+        else:
+            node = Node(child[0], child[1], bool(child[2] & 1))
+            node.in_article = child[2] > 1
+            path[-1].children.append(node)
+            path.append(node)
+    return root
+
+
 def squeezed(text: str) -> str:
     return " ".join(text.split())
 
 
-# A template node is [name, pages, pages by text hash, children, most that a count may fall short by].
+# A template node is [name, pages, pages by text hash, children, most that a count may fall short by, texts of all pages].
 # Neighbours of one name count as one repeated node, each with its own text.
 
 
@@ -182,7 +317,7 @@ def _shape(nodes: list[Node], sources: dict[int, list[Node]] | None, levels: int
                 runs[-1].append(child)
             else:
                 runs.append([child])
-    made = _bounded([nodes[0].name, 1, texts, [_shape(run, sources, levels - 1) for run in runs], 0])
+    made = _bounded([nodes[0].name, 1, texts, [_shape(run, sources, levels - 1) for run in runs], 0, len(texts)])
     if sources is not None:
         sources[id(made)] = nodes
     return made
@@ -205,8 +340,9 @@ def _hashed(text: str) -> str:
 
 def _bounded(node: list) -> list:
     """Take the count of the first text too many from all: counts of disjoint sets of pages still add up to lower bounds."""
-    if len(node[2]) > COUNTS:
-        less = sorted(node[2].values(), reverse=True)[COUNTS]
+    most = COUNTS + 8 * node[5] // node[1]
+    if len(node[2]) > most:
+        less = sorted(node[2].values(), reverse=True)[most]
         node[2] = {text: n - less for text, n in node[2].items() if n > less}
         node[4] += less
     return node
@@ -261,7 +397,7 @@ def merged(a: list, b: list) -> list:
     """The template of the pages of two templates with the same root."""
     children = [merged(x, y) if x and y else x or y for x, y in pairs(a[3], b[3])]
     texts = a[2] | {text: n + a[2].get(text, 0) for text, n in b[2].items()}
-    return _pruned(_bounded([a[0], a[1] + b[1], texts, children, a[4] + b[4]]))
+    return _pruned(_bounded([a[0], a[1] + b[1], texts, children, a[4] + b[4], a[5] + b[5]]))
 
 
 def _pruned(node: list) -> list:
@@ -282,8 +418,8 @@ def usable(template: list) -> list | None:
     """The template with the texts of nearly all its pages only; none for few pages, or equal ones."""
 
     def common(node: list) -> list:
-        texts = {text: n for text, n in node[2].items() if n >= SHARE * template[1]}
-        return [node[0], node[1], texts, [common(child) for child in node[3]], node[4] + (len(texts) < len(node[2]))]
+        texts = {text: template[1] for text, n in node[2].items() if n >= SURE * template[1] and n + node[4] >= SHARE * template[1]}
+        return [node[0], node[1], texts, [common(child) for child in node[3]], node[4] + (len(texts) < len(node[2])), len(texts)]
 
     return common(template) if template[1] >= PAGES and _varies(template, template[1]) else None
 
@@ -303,30 +439,56 @@ def _frame_nodes(root: Node, template: list) -> set[int]:
         text = _own_text(element) if above else _hashed(_text(element))
         if node and (not text or node[2].get(text, 0) >= SHARE * template[1]) and not (above and any(id(part) not in frame for part in _parts(element))):
             frame.add(id(element))
+    for element, _, _ in met:
+        _keep_openings(element, frame)
     return frame
 
 
+def _keep_openings(parent: Node, frame: set[int]) -> None:
+    """Take paragraphs without a class that open a text out of ``frame``: those before its first varying one, on top of a page only below a heading."""
+    parts = _parts(parent)
+    varying = next((k for k, part in enumerate(parts) if part.name == "p" and id(part) not in frame), 0)
+    text = parent.in_article or parent.tag not in ("body", "html", "#root")
+    for part in parts[:varying]:
+        text = text or (part.tag in _HEADINGS and id(part) not in frame)
+        if text and part.name == "p":
+            frame.discard(id(part))
+
+
 def main_text(html: str, template: list | None) -> str:
     """Blocks of the main text, one per line.
 
-    The regions marked as article or main are the main text if they hold half of
-    the text that is no frame, else the whole page is. Text that the template calls
-    frame is left out, but for regions of which it is most: these are copies.
+    The regions marked as article or main are the main text, but for teasers: an
+    article without a paragraph or heading, or with a link as its heading, or, below
+    a first-level heading outside, with lesser headings from the third level on. With no other
+    region the whole page is. Text that the template calls frame is left out, unless
+    it leaves no paragraph of the regions nor one beside them: these are copies.
     """
-    return _main_text(html, usable(template) if template else None)
+    return _main_text(parse(html), usable(template) if template else None)
 
 
-def _main_text(html: str, known: list | None) -> str:
-    """The same for a template that is usable."""
-    root = parse(html)
+def _main_text(root: Node, known: list | None) -> str:
+    """The same for a page that is parsed and a template that is usable."""
     frame = _frame_nodes(root, known) if known else set()
-    page = _blocks([root], frame, whole=True)
     regions = _regions(root)
-    marked = _blocks(regions, frame)
-    plain = _blocks(regions, set()) if frame else marked
-    if 2 * len(marked) < len(plain):
-        marked = plain
-    return marked if regions and 2 * len(marked) >= len(page) else page
+    if not regions:
+        return _blocks([root], frame, whole=True)
+    if not frame or _has_paragraph(regions, frame) or not _has_paragraph(regions, set()):
+        if marked := _blocks(regions, frame):
+            return marked
+    return _blocks([root], frame, whole=True) if _has_paragraph([root], frame) else _blocks(regions, set())
+
+
+def _has_paragraph(regions: list[Node], frame: set[int]) -> bool:
+    todo = list(regions)
+    while todo:
+        node = todo.pop()
+        if node.frame or id(node) in frame:
+            continue
+        if node.tag in _TEXT_TAGS and not _text(node).isspace() and _text(node):
+            return True
+        todo += [c for c in node.children if isinstance(c, Node)]
+    return False
 
 
 def _blocks(regions: list[Node], frame: set[int], whole: bool = False) -> str:
@@ -337,16 +499,34 @@ def _blocks(regions: list[Node], frame: set[int], whole: bool = False) -> str:
 
 
 def _regions(root: Node) -> list[Node]:
-    """The outermost article and main elements that are not frame."""
-    found = []
+    """The outermost article and main elements that are neither frame nor teasers."""
+    found, teasers, outside = [], [], False
     todo = [root]
     while todo:
         node = todo.pop()
         if node is not root and node.tag in ("article", "main"):
-            found.append(node)
+            level = _outline(node) if node.tag == "article" else 1
+            (found if level else teasers).append((node, level))
         else:
+            outside = outside or node.tag == "h1"
             todo += [c for c in reversed(node.children) if isinstance(c, Node) and not c.frame]
-    return found
+    if outside and all(2 < level < 7 for _, level in found):
+        return []
+    return [node for node, _ in found]
+
+
+def _outline(article: Node) -> int:
+    """The level of the first heading of an article, 7 if it has paragraphs or other parts only; 0 for a teaser."""
+    parts = False
+    todo = [(article, False)]
+    while todo:
+        node, linked = todo.pop()
+        if node.tag in _HEADINGS:
+            inside = [c for c in node.children if not (isinstance(c, str) and c.isspace())]
+            return 0 if linked or (inside and all(isinstance(c, Node) and c.tag == "a" for c in inside)) else int(node.tag[1])
+        parts = parts or (node is not article and node.tag not in _INLINE)
+        todo += [(c, linked or c.tag == "a") for c in reversed(node.children) if isinstance(c, Node) and not c.frame]
+    return 7 if parts else 0
 
 
 def _menus(root: Node) -> set[int]:
@@ -405,16 +585,21 @@ def _rows(templates: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(templates.keys(), pa.string()), pa.array([json.dumps(t) for t in templates.values()], pa.string())], ["host", "template"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """host, template from all pages: merged in each task, then over tasks in two steps, one template in memory at a time."""
+def _trees(batch: pa.RecordBatch) -> pa.Array:
+    """The tree of each page; empty for pages without html."""
+    return pa.array([packed(parse(html)) if (html or "").strip() else "" for html in batch.column("text").to_pylist()], pa.string())
+
+
+def templates(trees: DataFrame) -> DataFrame:
+    """host, template from the trees of all pages: merged in each task, then over tasks in two steps, one template in memory at a time."""
 
     def induce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
-        for batch in by_bytes(batches, "html"):
-            for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-                if not (html or "").strip():
+        for batch in by_bytes(batches, "tree"):
+            for host, tree in zip(batch.column("host").to_pylist(), batch.column("tree").to_pylist(), strict=True):
+                if not tree:
                     continue
-                page = shape(parse(html))
+                page = shape(unpacked(tree))
                 held[host] = merged(held[host], page) if host in held else page
             if len(held) > HELD:
                 yield _rows(held)
@@ -443,7 +628,7 @@ def templates(pages: DataFrame) -> DataFrame:
                 if made := usable(json.loads(template)):
                     yield _rows({host: made})
 
-    first = pages.where("host is not null").select("host", "html").mapInArrow(induce, _TEMPLATE).withColumn("_deal", F.pmod(F.xxhash64("template"), F.lit(DEALT)))
+    first = trees.where("host is not null").select("host", "tree").mapInArrow(induce, _TEMPLATE).withColumn("_deal", F.pmod(F.xxhash64("template"), F.lit(DEALT)))
     second = first.repartition("host", "_deal").sortWithinPartitions("host", "template").select("host", "template").mapInArrow(meet, _TEMPLATE)
     return second.repartition("host").sortWithinPartitions("host", "template").mapInArrow(meet, _TEMPLATE).mapInArrow(keep, _TEMPLATE)
 
@@ -451,33 +636,35 @@ def templates(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages``.
 
-    A page's text is its article or main part, or the whole page where that part
-    holds less than half of the text, without what is marked as something else and
-    without what the host's template finds on nearly all pages. Null and empty html give an empty text; pages without a host, or
+    A page's text is that of :func:`main_text`, by the template of its host. Null and
+    empty html give an empty text; pages without a host, or
     of hosts with fewer than ``PAGES`` pages or with equal pages only, have no
     template, and empty pages count for none. Repeated rows are extracted each and
-    count as pages each. Other columns are not read.
+    count as pages each. Very long pages are read whole, one at a time. Other columns
+    are not read.
     """
     spark = pages.sparkSession
-    rows = pages.select("page_id", "url", "html").withColumn("host", host_of("url"))
-    folder = new_work_dir(spark, "templates")
-    templates(rows).write.parquet(folder)
+    rows = pages.select("page_id", "url", F.col("html").alias("text")).withColumn("host", host_of("url"))
+    parsed, folder = new_work_dir(spark, "trees"), new_work_dir(spark, "templates")
+    with_texts_mapped(rows, "tree", "string", lambda: _trees, drop=("text",)).write.parquet(parsed)
+    trees = spark.read.parquet(parsed)
+    templates(trees).write.parquet(folder)
 
     def start():
         known: dict[str, list] = {}
 
         def text(batch: pa.RecordBatch) -> pa.Array:
             out = []
-            for html, template in zip(batch.column("text").to_pylist(), batch.column("template").to_pylist(), strict=True):
+            for tree, template in zip(batch.column("text").to_pylist(), batch.column("template").to_pylist(), strict=True):
                 if template is not None and template not in known:
                     if len(known) > HELD:
                         known.clear()
                     known[template] = json.loads(template)
-                out.append(_main_text(html or "", known.get(template)))
+                out.append(_main_text(unpacked(tree), known.get(template)) if tree else "")
             return pa.array(out, pa.string())
 
         return text
 
-    joined = rows.join(spark.read.parquet(folder), "host", "left").select("page_id", "url", F.col("html").alias("text"), "template")
+    joined = trees.join(spark.read.parquet(folder), "host", "left").select("page_id", "url", F.col("tree").alias("text"), "template")
     found = with_texts_mapped(joined, "main", "string", start, drop=("text", "template"))
     return found.select("page_id", "url", F.col("main").alias("text"), F.char_length("main").cast("long").alias("n_chars"))

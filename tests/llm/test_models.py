@@ -10,7 +10,7 @@ from llm.data import ODD_TEXTS, SF, given, no_documents, odd_documents
 import corpus_pipeline
 from parcelflow.llm import language, language_model, quality
 from parcelflow.llm.columns import fold
-from parcelflow.llm.html_content import extract, main_text, merged, parse, shape
+from parcelflow.llm.html_content import extract, main_text, merged, packed, parse, shape, unpacked
 from parcelflow.llm.queries import QUERIES
 
 
@@ -314,3 +314,60 @@ def test_the_frame_below_very_long_articles_is_found():
     for k in (3, 4, 9):
         text = main_text(page(k), template)
         assert "Sign up" not in text and text.count("\n") == 2 * (60 + 40 * (k % 5)) - 1
+
+
+def test_comments_adverts_and_side_columns_of_compound_names():
+    note = "<div class=note><cite>Ann {0}</cite><time>May {0}</time><p>I think so {0}, and at some length, more than the article.</p></div>".format
+    notes = "".join(map(note, range(9)))
+    short = "<article><h1>Title</h1><p>Short text.</p>{0}</article>".format
+    assert main_text(short("<div class='comment-section'><div class=c><b>Ann</b><p>Nice</p></div></div>"), None) == "Title\nShort text."
+    assert main_text(short(f"<section id=commentList><h2>Said</h2>{notes}</section>"), None) == "Title\nShort text."
+    assert main_text(short(notes), None) == "Title\nShort text."
+    for beside in (f"<section id='user-comments'><h2>Comments</h2>{notes}</section>", f"<div class='reader-notes'>{notes}</div>", "<div class='right-rail'><h3>More</h3><p>A note on other things, at length.</p></div>"):
+        assert main_text(short("") + beside, None) == "Title\nShort text."
+        assert main_text(f"<div><h1>Title</h1><p>Short text.</p></div>{beside}", None) in ("Title\nShort text.", "Title\nShort text.\nComments")
+    assert main_text(short("<div class='ad-slot'><p>Buy this</p></div>"), None) == "Title\nShort text."
+    # Names that only say something about comments or adverts, and records of the text itself, stay.
+    kept = "<section id=comments-in-python><h2>Comments in Python</h2><p>One<p>Two</section><div class=ad-free>Free</div><section id=ad-hoc><h2>Ad hoc</h2><p>x</section>"
+    assert main_text(short(kept), None).endswith("Comments in Python\nOne\nTwo\nFree\nAd hoc\nx")
+    turns = "".join(f"<div class=turn><b class=who>Q{k}</b><p>Answer {k}</p></div>" for k in range(3))
+    assert main_text(short(turns), None).count("Answer") == 3
+
+
+def test_regions_are_chosen_by_structure_at_any_length():
+    article = "<article><h2>Title</h2><p>Text.</p></article>"
+    for more in (1, 1000):
+        assert main_text(f"<h1>Site</h1>{article}<div><p>{'Other words. ' * more}</p></div>", None) == "Title\nText."
+        assert "Other" in main_text(f"<div><h1>Title</h1><p>{'Other words. ' * more}</p></div><article><h3><a href=1>Next</a></h3><p>Read on</p></article>", None)
+        assert "Other" in main_text(f"<div><h1>Title</h1><p>{'Other words. ' * more}</p></div><article><h3>Next</h3><p>Read on</p></article>", None)
+
+
+def test_constant_openings_stay_and_copies_keep_their_text():
+    page = "<div class=logo>Site</div><article><h1>Title {0}</h1><p>The same opening sentence.</p><p>Text {0}</p><p>All rights kept</p></article>".format
+    template = induced([page(k) for k in range(20)])
+    assert main_text(page(3), template) == "Title 3\nThe same opening sentence.\nText 3"
+    bare = "<p>Site</p><h1>Title {0}</h1><p>The same opening sentence.</p><p>Text {0}</p><p>All rights kept</p>".format
+    assert main_text(bare(3), induced([bare(k) for k in range(20)])) == "Title 3\nThe same opening sentence.\nText 3"
+    copy = "<article><h1>Title {0}</h1><p>A copied text.</p></article>".format
+    assert main_text(copy(3), induced([copy(k) for k in range(20)])) == "Title 3\nA copied text."
+
+
+def test_frame_texts_in_long_runs_are_found():
+    def page(k):
+        return "<article>" + "".join(f"<p>Text {n} of {k}</p>" for n in range(400)) + "<p>Sign up today</p></article>"
+
+    text = main_text(page(3), induced([page(k) for k in range(40)]))
+    assert "Sign up" not in text and text.count("\n") == 399
+
+
+def test_trees_come_back_from_their_packed_form():
+    def flat(node):
+        out, todo = [], [node]
+        while todo:
+            child = todo.pop()
+            out.append(child if isinstance(child, str) else (child.tag, child.name, bool(child.frame), bool(child.in_article)))
+            todo += [] if isinstance(child, str) else [c for c in child.children if isinstance(c, str) or c.tag not in ("script", "style")]
+        return out
+
+    for html in ("", "a\ud800<p class='x y'>\u00e9 &amp; <b>0</b><script>0</script><br></p>0", "<div>" * 3000 + "0"):
+        assert flat(unpacked(packed(parse(html)))) == flat(parse(html))
