@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+import math
+import re
+import uuid
+from dataclasses import dataclass, field
 
 import ahocorasick
 import pyarrow as pa
@@ -10,15 +13,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm.columns import free_name, texts_of, with_texts_mapped
-from parcelflow.llm.wordhash import LOWER, WORD, WORDS_ONLY
+from parcelflow.llm.wordhash import WORDS_ONLY
+from parcelflow.session import new_work_dir
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 13
-#: Bytes of test items that go into one automaton, which takes some 500 times that; more items take further passes.
-ITEM_BYTES = 256 << 10
-
-_HITS = "struct<n_words: bigint, spans: array<struct<first: int, stop: int, start: int, end: int>>, items: array<string>>"
+#: Words of a block. Every window holds a whole one of those that start at each BLOCK-th word of its item.
+BLOCK = (WINDOW + 1) // 2
+#: Bytes of test items that one automaton is built of and that are broadcast at once; more items are dealt over several.
+ITEM_BYTES = 8 << 20
+#: Bytes of a text that are taken apart at once.
+_STEP = 4 << 20
+
+_SPANS = "array<struct<first: int, stop: int, start: int, end: int>>"
+_HITS = f"struct<n_words: bigint, spans: {_SPANS}, items: array<string>>"
 _SPAN = pa.struct([(n, pa.int32()) for n in ("first", "stop", "start", "end")])
+#: A word in the original text, whatever its case.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
 def normalised(text: str) -> str:
@@ -27,23 +38,79 @@ def normalised(text: str) -> str:
     return f" {b' '.join(words).decode('latin-1')} " if words else " "
 
 
-def item_windows(text: str) -> list[str]:
-    words = normalised(text).split(" ")[1:-1]
-    return [f" {' '.join(words[k : k + WINDOW])} " for k in range(max(1, len(words) - WINDOW + 1))] if words else []
+@dataclass
+class _Pattern:
+    """Consecutive words: the items that are these words, and, as a block, the words around it in each item."""
+
+    whole: set[str] = field(default_factory=set)
+    around: dict[tuple, set[str]] = field(default_factory=dict)  # (words before, words behind): items
+    near: dict[tuple, list[tuple]] = field(default_factory=dict)  # (side, half of the words there): keys of around
 
 
-@lru_cache(maxsize=2)
-def _automaton(items: tuple[tuple[str, str], ...]) -> ahocorasick.Automaton:
-    """Finds every window of the items; gives its length and the items that have it."""
-    of: dict[str, list[str]] = {}
-    for item, text in items:
-        for window in item_windows(text):
-            of.setdefault(window, []).append(item)
-    built = ahocorasick.Automaton()
-    for window, names in of.items():
-        built.add_word(window, (len(window), frozenset(names)))
-    built.make_automaton()
-    return built
+class Windows:
+    """One automaton over the words of all items; finds every occurrence of each window.
+
+    An item shorter than a window is a pattern; longer ones are in blocks, which
+    takes one state a word, where whole windows would take ``WINDOW``. A block
+    found in a text is a window's if the words around it are those of an item.
+    """
+
+    def __init__(self, items: list[tuple[str, str]]):
+        self.number: dict[bytes, int] = {}
+        patterns: dict[tuple[int, ...], _Pattern] = {}
+        for item, text in items:
+            words = tuple(self.number.setdefault(w, len(self.number) + 1) for w in text.encode().translate(WORDS_ONLY).split())
+            if 0 < len(words) < WINDOW:
+                patterns.setdefault(words, _Pattern()).whole.add(item)
+            for k in range(0, len(words) - BLOCK + 1, BLOCK) if len(words) >= WINDOW else ():
+                around = (words[max(0, k - BLOCK + 1) : k], words[k + BLOCK : k + 2 * BLOCK - 1])
+                patterns.setdefault(words[k : k + BLOCK], _Pattern()).around.setdefault(around, set()).add(item)
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for words, pattern in patterns.items():
+            # A window has half of its words beside the block before it, or behind it.
+            for key in pattern.around:
+                for side, half in ((0, key[0][-(BLOCK // 2) :]), (1, key[1][: BLOCK // 2])):
+                    if len(half) == BLOCK // 2:
+                        pattern.near.setdefault((side, half), []).append(key)
+            self.automaton.add_word(words, (len(words), pattern))
+        self.any = bool(patterns)
+        if self.any:
+            self.automaton.make_automaton()
+
+    def numbers(self, text: str) -> tuple[int, ...]:
+        """The words of a text as numbers, 0 for words that no item has."""
+        data, at, get, out = text.encode().translate(WORDS_ONLY), 0, self.number.get, []
+        while at < len(data):
+            stop = data.find(b" ", at + _STEP)
+            stop = len(data) if stop < 0 else stop
+            out += [get(word, 0) for word in data[at:stop].split()]
+            at = stop
+        return tuple(out)
+
+    def found(self, words: tuple[int, ...]) -> tuple[list[tuple[int, int]], set[str]]:
+        """Ranges of words that are in a window, and the items found."""
+        spans, items = [], set()
+        if not self.any or not any(words):
+            return spans, items
+        half = BLOCK // 2
+        for last, (length, pattern) in self.automaton.iter(words):
+            start, stop = last + 1 - length, last + 1
+            if pattern.whole:
+                spans.append((start, stop))
+                items |= pattern.whole
+            if not pattern.around:
+                continue
+            keys = {*pattern.near.get((0, words[start - half : start] if start >= half else ()), ()), *pattern.near.get((1, words[stop : stop + half]), ())}
+            for before, behind in keys:
+                left = right = 0
+                while left < len(before) and left < start and before[-1 - left] == words[start - 1 - left]:
+                    left += 1
+                while right < len(behind) and stop + right < len(words) and behind[right] == words[stop + right]:
+                    right += 1
+                if left + length + right >= WINDOW:
+                    spans.append((start - left, stop + right))
+                    items |= pattern.around[before, behind]
+        return spans, items
 
 
 def _merged(spans: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
@@ -58,32 +125,54 @@ def _merged(spans: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
     return out
 
 
-def hits(text: str, built: ahocorasick.Automaton) -> tuple[int, list[tuple[int, int, int, int]], set[str]]:
+def hits(text: str, windows: Windows) -> tuple[int, list[tuple[int, int, int, int]], set[str]]:
     """Number of words; spans of hit words with their places in ``text``; items found."""
-    words = normalised(text)
-    found, items = [], set()
-    for end, (length, names) in built.iter(words) if len(built) else ():
-        found.append((end + 1 - length, end + 1))
-        items |= names
-    spans, word, at = [], 0, 0
-    places = [m.span() for m in WORD.finditer(text.encode().translate(LOWER).decode())] if found else []
-    for start, end in _merged(found):
-        word, at = word + words.count(" ", at, start), start
-        stop = word + words.count(" ", start, end) - 1
-        spans.append((word, stop, places[word][0], places[stop - 1][1]))
-    return words.count(" ") - 1, spans, items
-
-
-def _shares(items: DataFrame) -> list[tuple[tuple[str, str], ...]]:
-    """The test items, as text, in shares of bounded size; at least one share."""
-    shares, size = [[]], 0
-    for item, text in items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text").where("text is not null").distinct().toLocalIterator():
-        if size and size + len(text) > ITEM_BYTES:
-            shares.append([])
-            size = 0
-        shares[-1].append((item, text))
-        size += len(text.encode())
-    return [tuple(sorted(share)) for share in shares]
+    words = windows.numbers(text)
+    found, items = windows.found(words)
+    spans, places, word, place = [], _WORD.finditer(text) if found else None, -1, None
+    for first, stop in _merged(found):
+        while word < first:
+            word, place = word + 1, next(places)
+        start = place.start()
+        while word < stop - 1:
+            word, place = word + 1, next(places)
+        spans.append((first, stop, start, place.end()))
+    return len(words), spans, items
+
+
+def _dealt(items: DataFrame) -> tuple[DataFrame, int]:
+    """item, text and share of the test items, in shares of about ``ITEM_BYTES``; the number of shares."""
+    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").where("text is not null and text <> ''").distinct()
+    folder = new_work_dir(items.sparkSession, "items")
+    rows.write.parquet(folder)
+    rows = items.sparkSession.read.schema(rows.schema).parquet(folder)
+    size = rows.agg(F.sum(F.octet_length("item") + F.octet_length("text"))).first()[0] or 0
+    shares = max(1, math.ceil(size / ITEM_BYTES))
+    return rows.withColumn("share", F.pmod(F.xxhash64("item", "text"), F.lit(shares))), shares
+
+
+#: The automaton that this worker built last, by the number of its scan.
+_built: dict[str, Windows] = {}
+
+
+def _scan(rows: DataFrame):
+    """The function that scans texts for the items of ``rows``, which are within ``ITEM_BYTES`` or about."""
+    shared = rows.sparkSession.sparkContext.broadcast(sorted((r["item"], r["text"]) for r in rows.select("item", "text").collect()))
+    number = uuid.uuid4().hex
+
+    def start():
+        if number not in _built:
+            _built.clear()
+            _built[number] = Windows(shared.value)
+        windows = _built[number]
+        return lambda batch: _as_array([hits(text, windows) for text in texts_of(batch)])
+
+    return start
+
+
+def _as_array(found: list[tuple[int, list[tuple[int, int, int, int]], set[str]]]) -> pa.Array:
+    rows = [{"n_words": n, "spans": [dict(zip(("first", "stop", "start", "end"), x, strict=True)) for x in spans], "items": sorted(items)} for n, spans, items in found]
+    return pa.array(rows, pa.struct([("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))]))
 
 
 def with_hits(docs: DataFrame, items: DataFrame, into: str, drop: tuple[str, ...] = ()) -> DataFrame:
@@ -91,36 +180,40 @@ def with_hits(docs: DataFrame, items: DataFrame, into: str, drop: tuple[str, ...
 
     A span has its first word, the word behind its last, and where it starts and
     ends in the original text, in characters. Each text is scanned once by one
-    automaton; only test sets beyond ``ITEM_BYTES`` take another pass for each
-    further share. Null and empty texts have no words, no spans and no items; a
+    automaton. Test sets beyond ``ITEM_BYTES`` are dealt over several automata: a
+    job for each writes the hits of texts that have any, and these meet by the
+    texts' digests, so that neither the plan nor a task grows with the test set.
+    Null and empty texts have no words, no spans and no items; a
     null item_id counts as empty text, a null item text as no item. Repeated rows
-    and repeated items change nothing else; with no items nothing is hit.
+    and repeated items change nothing else; with no items nothing is hit. Very long
+    texts are taken apart piece by piece and scanned whole.
     """
-    made = docs
-    shares = _shares(items)
-    for k, share in enumerate(shares):
-        last = k == len(shares) - 1
-        earlier = step if k else None
-        step = into if last else free_name(made, f"{into}_{k}")
-        made = with_texts_mapped(made, step, _HITS, _scan(share, earlier), (*(drop if last else ()), *((earlier,) if earlier else ())))
-    return made
-
+    rows, shares = _dealt(items)
+    if shares == 1:
+        return with_texts_mapped(docs, into, _HITS, _scan(rows), drop)
+    folder = new_work_dir(docs.sparkSession, "hits")
+    texts = docs.select(F.sha2("text", 256).alias("key"), "text").where("text <> ''")
+    for share in range(shares):
+        found = with_texts_mapped(texts, "hits", _HITS, _scan(rows.where(F.col("share") == share)), drop=("text",))
+        found.where("size(hits.spans) > 0").dropDuplicates(["key"]).write.parquet(f"{folder}/share={share}")
+    key, before = free_name(docs, "_key"), free_name(docs, "_before")
+    met = docs.sparkSession.read.schema(f"key string, hits {_HITS}").parquet(*[f"{folder}/share={share}" for share in range(shares)])
+    met = met.groupBy(F.col("key").alias(key)).agg(
+        F.struct(F.flatten(F.collect_list("hits.spans")).alias("spans"), F.flatten(F.collect_list("hits.items")).alias("items")).alias(before)
+    )
+    joined = docs.withColumn(key, F.sha2("text", 256)).join(met, key, "left")
 
-def _scan(share: tuple[tuple[str, str], ...], earlier: str | None):
     def start():
-        built = _automaton(share)
+        words = Windows([])
 
-        def scan(batch: pa.RecordBatch) -> pa.Array:
-            found = [hits(text, built) for text in texts_of(batch)]
-            before = [(b["spans"], b["items"]) for b in batch.column(earlier).to_pylist()] if earlier else [((), ())] * len(found)
-            spans = [_merged([*s, *(tuple(x.values()) for x in b)]) for (_, s, _), (b, _) in zip(found, before, strict=True)]
-            ids = [sorted({*i, *b}) for (_, _, i), (_, b) in zip(found, before, strict=True)]
-            rows = [{"n_words": n, "spans": [dict(zip(("first", "stop", "start", "end"), x, strict=True)) for x in s], "items": i} for (n, _, _), s, i in zip(found, spans, ids, strict=True)]
-            return pa.array(rows, pa.struct([("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))]))
+        def unite(batch: pa.RecordBatch) -> pa.Array:
+            found = [b or {"spans": [], "items": []} for b in batch.column(before).to_pylist()]
+            spans = [_merged([tuple(x.values()) for x in b["spans"]]) for b in found]
+            return _as_array([(len(words.numbers(text)), s, set(b["items"])) for text, s, b in zip(texts_of(batch), spans, found, strict=True)])
 
-        return scan
+        return unite
 
-    return start
+    return with_texts_mapped(joined, into, _HITS, start, (*drop, key, before))
 
 
 def hit_words(hits_of: str) -> Column:

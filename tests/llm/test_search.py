@@ -1,4 +1,9 @@
+import time
+
 import numpy as np
+from hypothesis import given as drawn
+from hypothesis import settings
+from hypothesis import strategies as st
 from llm.data import ODD_TEXTS, given, no_documents, odd_documents
 
 from parcelflow.llm import decontamination, neighbours
@@ -127,3 +132,26 @@ def test_hits_in_the_given_table(spark):
     got = decontamination.with_hits(given(spark, "documents"), given(spark, "benchmark"), "hits").collect()
     assert sorted((r.doc_id, r.hits.n_words, sum(s.stop - s.first for s in r.hits.spans), r.hits["items"]) for r in got) == want
     assert any(h for _, _, h, _ in want)
+
+
+@settings(max_examples=200, deadline=None)
+@drawn(st.lists(st.lists(st.sampled_from("abc"), min_size=0, max_size=40), max_size=4), st.integers(0, 10**6))
+def test_windows_in_blocks_are_those_of_a_plain_search(items, seed):
+    rng = np.random.default_rng(seed)
+    items = [(str(k), " ".join(words)) for k, words in enumerate(items)]
+    parts = [" ".join(text.split()[a : a + 20]) for _, text in items for a in rng.integers(0, 20, 2)]
+    text = ", ".join([*parts, *rng.choice(list("abcX"), 12)])
+    n, spans, found = decontamination.hits(text, decontamination.Windows(items))
+    assert (n, sum(s[1] - s[0] for s in spans), sorted(found)) == plain_hits(text, items)
+    assert all(len(decontamination.normalised(text[start:end]).split()) == stop - first for first, stop, start, end in spans)
+
+
+def test_repeated_words_and_common_blocks_stay_cheap():
+    same = "which of the following is the correct"
+    items = [("r", "word " * 5000), *((str(k), f"a{k} b{k} c{k} {same} d{k} e{k} f{k} g{k}") for k in range(5000))]
+    windows = decontamination.Windows(items)
+    text = "Word " * 20000 + f"{same} one. " * 5000 + items[7][1]
+    start = time.process_time()
+    n, spans, found = decontamination.hits(text, windows)
+    assert found == {"r", items[7][0]} and [s[:2] for s in spans] == [(0, 20000), (n - 14, n)]
+    assert time.process_time() - start < 10
