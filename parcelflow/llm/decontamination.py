@@ -21,9 +21,13 @@ WINDOW = 13
 #: Words of a block. Every window holds a whole one of those that start at each BLOCK-th word of its item.
 BLOCK = (WINDOW + 1) // 2
 #: Bytes of test items that one automaton is built of and that are broadcast at once; more items are dealt over several.
-ITEM_BYTES = 8 << 20
+ITEM_BYTES = 4 << 20
 #: Bytes of a text that are taken apart at once.
 _STEP = 4 << 20
+#: Characters that stand for one word, each from an alphabet of its own.
+_DIGITS = 3
+#: Stands for words that no item has.
+_OTHER = "\0" * _DIGITS
 
 _SPANS = "array<struct<first: int, stop: int, start: int, end: int>>"
 _HITS = f"struct<n_words: bigint, spans: {_SPANS}, items: array<string>>"
@@ -43,72 +47,76 @@ class _Pattern:
     """Consecutive words: the items that are these words, and, as a block, the words around it in each item."""
 
     whole: set[str] = field(default_factory=set)
-    around: dict[tuple, set[str]] = field(default_factory=dict)  # (words before, words behind): items
-    near: dict[tuple, list[tuple]] = field(default_factory=dict)  # (side, half of the words there): keys of around
+    around: dict[tuple[str, str], set[str]] = field(default_factory=dict)  # words before, words behind: items
+    near: dict[tuple[int, str], list[tuple[str, str]]] = field(default_factory=dict)  # side, half of the words there: keys of around
 
 
 class Windows:
     """One automaton over the words of all items; finds every occurrence of each window.
 
     An item shorter than a window is a pattern; longer ones are in blocks, which
-    takes one state a word, where whole windows would take ``WINDOW``. A block
-    found in a text is a window's if the words around it are those of an item.
+    takes one state a digit of a word, where whole windows would take ``WINDOW``. A
+    block found in a text is a window's if the words around it are those of an item.
+    Words are coded in a few digits, so that no state has many next ones.
     """
 
     def __init__(self, items: list[tuple[str, str]]):
-        self.number: dict[bytes, int] = {}
-        patterns: dict[tuple[int, ...], _Pattern] = {}
-        for item, text in items:
-            words = tuple(self.number.setdefault(w, len(self.number) + 1) for w in text.encode().translate(WORDS_ONLY).split())
+        split = [(item, text.encode().translate(WORDS_ONLY).split()) for item, text in items]
+        known = dict.fromkeys(word for _, words in split for word in words)
+        base = max(2, math.ceil(len(known) ** (1 / _DIGITS)) + 1)
+        self.code = {word: "".join(chr(1 + d * base + k // base**d % base) for d in range(_DIGITS)) for k, word in enumerate(known)}
+        patterns: dict[str, _Pattern] = {}
+        size, side = BLOCK * _DIGITS, (BLOCK - 1) * _DIGITS
+        for item, words in split:
+            coded = "".join(map(self.code.__getitem__, words))
             if 0 < len(words) < WINDOW:
-                patterns.setdefault(words, _Pattern()).whole.add(item)
-            for k in range(0, len(words) - BLOCK + 1, BLOCK) if len(words) >= WINDOW else ():
-                around = (words[max(0, k - BLOCK + 1) : k], words[k + BLOCK : k + 2 * BLOCK - 1])
-                patterns.setdefault(words[k : k + BLOCK], _Pattern()).around.setdefault(around, set()).add(item)
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for words, pattern in patterns.items():
+                patterns.setdefault(coded, _Pattern()).whole.add(item)
+            for k in range(0, len(coded) - size + 1, size) if len(words) >= WINDOW else ():
+                around = (coded[max(0, k - side) : k], coded[k + size : k + size + side])
+                patterns.setdefault(coded[k : k + size], _Pattern()).around.setdefault(around, set()).add(item)
+        self.automaton = ahocorasick.Automaton()
+        half = side // 2
+        for coded, pattern in patterns.items():
             # A window has half of its words beside the block before it, or behind it.
             for key in pattern.around:
-                for side, half in ((0, key[0][-(BLOCK // 2) :]), (1, key[1][: BLOCK // 2])):
-                    if len(half) == BLOCK // 2:
-                        pattern.near.setdefault((side, half), []).append(key)
-            self.automaton.add_word(words, (len(words), pattern))
-        self.any = bool(patterns)
-        if self.any:
+                if len(key[0]) >= half:
+                    pattern.near.setdefault((0, key[0][-half:]), []).append(key)
+                if len(key[1]) >= half:
+                    pattern.near.setdefault((1, key[1][:half]), []).append(key)
+            self.automaton.add_word(coded, (len(coded), pattern))
+        if patterns:
             self.automaton.make_automaton()
 
-    def numbers(self, text: str) -> tuple[int, ...]:
-        """The words of a text as numbers, 0 for words that no item has."""
-        data, at, get, out = text.encode().translate(WORDS_ONLY), 0, self.number.get, []
+    def coded(self, text: str) -> str:
+        """The words of a text in their codes."""
+        data, at, get, out = text.encode().translate(WORDS_ONLY), 0, self.code.get, []
         while at < len(data):
             stop = data.find(b" ", at + _STEP)
             stop = len(data) if stop < 0 else stop
-            out += [get(word, 0) for word in data[at:stop].split()]
+            out.append("".join([get(word, _OTHER) for word in data[at:stop].split()]))
             at = stop
-        return tuple(out)
+        return "".join(out)
 
-    def found(self, words: tuple[int, ...]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Ranges of words that are in a window, and the items found."""
+    def found(self, words: str) -> tuple[list[tuple[int, int]], set[str]]:
+        """Ranges of words that are in a window, and the items found, for words in their codes."""
         spans, items = [], set()
-        if not self.any or not any(words):
-            return spans, items
-        half = BLOCK // 2
-        for last, (length, pattern) in self.automaton.iter(words):
+        half = (BLOCK - 1) // 2 * _DIGITS
+        for last, (length, pattern) in self.automaton.iter(words) if len(self.automaton) else ():
             start, stop = last + 1 - length, last + 1
             if pattern.whole:
-                spans.append((start, stop))
+                spans.append((start // _DIGITS, stop // _DIGITS))
                 items |= pattern.whole
             if not pattern.around:
                 continue
-            keys = {*pattern.near.get((0, words[start - half : start] if start >= half else ()), ()), *pattern.near.get((1, words[stop : stop + half]), ())}
+            keys = {*pattern.near.get((0, words[max(0, start - half) : start]), ()), *pattern.near.get((1, words[stop : stop + half]), ())}
             for before, behind in keys:
                 left = right = 0
-                while left < len(before) and left < start and before[-1 - left] == words[start - 1 - left]:
-                    left += 1
-                while right < len(behind) and stop + right < len(words) and behind[right] == words[stop + right]:
-                    right += 1
-                if left + length + right >= WINDOW:
-                    spans.append((start - left, stop + right))
+                while left < min(len(before), start) and before.endswith(words[start - left - _DIGITS : start], len(before) - left - _DIGITS):
+                    left += _DIGITS
+                while right < len(behind) and behind.startswith(words[stop : stop + right + _DIGITS]) and stop + right < len(words):
+                    right += _DIGITS
+                if left + length + right >= WINDOW * _DIGITS:
+                    spans.append(((start - left) // _DIGITS, (stop + right) // _DIGITS))
                     items |= pattern.around[before, behind]
         return spans, items
 
@@ -127,7 +135,7 @@ def _merged(spans: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
 
 def hits(text: str, windows: Windows) -> tuple[int, list[tuple[int, int, int, int]], set[str]]:
     """Number of words; spans of hit words with their places in ``text``; items found."""
-    words = windows.numbers(text)
+    words = windows.coded(text)
     found, items = windows.found(words)
     spans, places, word, place = [], _WORD.finditer(text) if found else None, -1, None
     for first, stop in _merged(found):
@@ -137,7 +145,7 @@ def hits(text: str, windows: Windows) -> tuple[int, list[tuple[int, int, int, in
         while word < stop - 1:
             word, place = word + 1, next(places)
         spans.append((first, stop, start, place.end()))
-    return len(words), spans, items
+    return len(words) // _DIGITS, spans, items
 
 
 def _dealt(items: DataFrame) -> tuple[DataFrame, int]:
@@ -209,7 +217,7 @@ def with_hits(docs: DataFrame, items: DataFrame, into: str, drop: tuple[str, ...
         def unite(batch: pa.RecordBatch) -> pa.Array:
             found = [b or {"spans": [], "items": []} for b in batch.column(before).to_pylist()]
             spans = [_merged([tuple(x.values()) for x in b["spans"]]) for b in found]
-            return _as_array([(len(words.numbers(text)), s, set(b["items"])) for text, s, b in zip(texts_of(batch), spans, found, strict=True)])
+            return _as_array([(len(words.coded(text)) // _DIGITS, s, set(b["items"])) for text, s, b in zip(texts_of(batch), spans, found, strict=True)])
 
         return unite
 
