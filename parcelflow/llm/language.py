@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.columns import by_bytes, texts_of, with_texts_mapped
@@ -19,6 +19,8 @@ TAUGHT = 400
 _SALTS = 16
 #: What a change of language between two words costs, in nats.
 SWITCH = 12.0
+#: Nats by which a text may fall below the margin of its languages: a few stray words.
+STRAY = 4 * SWITCH
 #: Hash buckets of letter triples.
 BUCKETS = 1 << 16
 #: A language is a candidate for a script that holds this share of its letters.
@@ -89,6 +91,7 @@ class Languages:
     names: list[str]
     scores: np.ndarray  # bucket by language: log probability
     allowed: np.ndarray  # script by language
+    least: np.ndarray  # log probability a letter, halfway between a language's own texts and those of others
 
     def word_scores(self, words: Words) -> np.ndarray:
         """Log probability of each word in each language that uses its script; in all where none does."""
@@ -164,26 +167,38 @@ def fit(docs: DataFrame) -> Languages:
     rows = taught.mapInArrow(count, "lang string, at long, n long").groupBy("lang", "at").agg(F.sum("n").alias("n")).collect()
     names = sorted({r["lang"] for r in rows})
     if not names:
-        return Languages([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_STARTS), 0), bool))
+        return Languages([], np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPT_STARTS), 0), bool), np.zeros(0))
     column = {name: k for k, name in enumerate(names)}
     counts = np.zeros((BUCKETS + len(SCRIPT_STARTS), len(names)))
     counts[[r["at"] for r in rows], [column[r["lang"]] for r in rows]] = [r["n"] for r in rows]
     counts, letters = counts[:BUCKETS], counts[BUCKETS:]
     scores = np.log((counts + 0.02) / (counts.sum(axis=0) + 0.02 * BUCKETS))
-    return Languages(names, scores.astype(np.float32), letters >= SCRIPT_SHARE * np.maximum(1, letters.sum(axis=0)))
+    return Languages(names, scores.astype(np.float32), letters >= SCRIPT_SHARE * np.maximum(1, letters.sum(axis=0)), _least(counts, scores))
 
 
-_FOUND = "struct<lang: string, score: double, spans: array<struct<lang: string, start: int, stop: int>>>"
+def _least(counts: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """For each language, the mean of what a letter of its own texts scores in it and what one of the other languages' texts does.
+
+    A single language is told from letters that are all equally likely.
+    """
+    each = (counts.T @ scores / np.maximum(1, counts.sum(axis=0))[:, None]).T  # language by the language of the texts
+    own, n = np.diag(each), len(each)
+    return (own + ((each.sum(axis=1) - own) / (n - 1) if n > 1 else -np.log(BUCKETS))) / 2
+
+
+_FOUND = "struct<lang: string, score: double, margin: double, spans: array<struct<lang: string, start: int, stop: int>>>"
 _SPAN = pa.struct([("lang", pa.string()), ("start", pa.int32()), ("stop", pa.int32())])
 
 
 def label(texts: list[str], model: Languages) -> pa.Array:
-    """lang, score and spans of each text."""
+    """lang, score, margin and spans of each text."""
     words = words_of(texts)
     n = len(model.names)
     if not n:
-        return pa.array([{"lang": "und", "score": 0.0, "spans": []}] * len(texts), pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(_SPAN))]))
-    path = best_path(model.word_scores(words), words.text)
+        return pa.array([{"lang": "und", "score": 0.0, "margin": 0.0, "spans": []}] * len(texts), pa.struct([("lang", pa.string()), ("score", pa.float64()), ("margin", pa.float64()), ("spans", pa.list_(_SPAN))]))
+    scores = model.word_scores(words)
+    path = best_path(scores, words.text)
+    margin = np.bincount(words.text, scores[np.arange(len(path)), path] - words.letters * model.least[path], len(texts)).astype(np.float64)
     shares = np.bincount(words.text * n + path, words.letters, len(texts) * n).reshape(-1, n)
     total = shares.sum(axis=1)
     best = shares.argmax(axis=1)
@@ -197,17 +212,18 @@ def label(texts: list[str], model: Languages) -> pa.Array:
         fields=list(_SPAN),
     )
     at = np.searchsorted(words.text[new], np.arange(len(texts) + 1))
-    return pa.StructArray.from_arrays([lang, pa.array(score), pa.ListArray.from_arrays(pa.array(at, pa.int32()), spans)], ["lang", "score", "spans"])
+    return pa.StructArray.from_arrays([lang, pa.array(score), pa.array(margin), pa.ListArray.from_arrays(pa.array(at, pa.int32()), spans)], ["lang", "score", "margin", "spans"])
 
 
 def with_languages(docs: DataFrame, model: Languages, into: str, drop: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with a struct of lang, score and the spans of each language.
+    """``docs`` with a struct of lang, score, margin and the spans of each language.
 
     The script of a word narrows the languages it can be in; the path through a
     text then weighs word scores against the cost of switches. ``lang`` has the
     most letters, ``score`` is its share of the letters, spans give characters of
-    the text. A text that is null or has no letter is ``und`` with a score of 0
-    and no spans; so is every text where nothing was learned. Of languages with
+    the text. ``margin`` is by how much, in nats, its words are likelier on their path than
+    letters halfway between those of the languages found and of other languages. A text that is null or has no letter is ``und`` with a score of 0
+    and a margin of 0 and no spans; so is every text where nothing was learned. Of languages with
     equal letters the first by name counts. Repeated rows are labelled alike.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -217,3 +233,8 @@ def with_languages(docs: DataFrame, model: Languages, into: str, drop: tuple[str
         return lambda batch: label(texts_of(batch), known)
 
     return with_texts_mapped(docs, into, _FOUND, start, drop, _STEP)
+
+
+def in_learned(found: Column) -> Column:
+    """Whether a text is in the learned languages, from the struct of :func:`with_languages`: it has letters, and no more than ``STRAY`` speaks against it."""
+    return (found["lang"] != "und") & (found["margin"] >= -STRAY)

@@ -12,7 +12,7 @@ from llm.data import SF, given, no_documents, odd_documents
 
 import corpus_pipeline
 from parcelflow.llm import language, quality
-from parcelflow.llm.queries import QUERIES
+from parcelflow.llm.columns import fold
 from parcelflow.llm.wordhash import mix, word_hashes
 
 
@@ -102,6 +102,8 @@ def plain_languages(taught, texts):
             used[script(word)] += len(word)
     names, size = sorted(counts), language.BUCKETS
     logs = {n: (counts[n], math.log(counts[n].total() + 0.02 * size)) for n in names}
+    each = lambda n, m: sum(k * (math.log(logs[n][0][t] + 0.02) - logs[n][1]) for t, k in counts[m].items()) / counts[m].total()
+    least = {n: (each(n, n) + sum(each(n, m) for m in names if m != n) / (len(names) - 1)) / 2 for n in names}
     found = []
     for text in texts:
         words = plain_words(text)
@@ -113,11 +115,12 @@ def plain_languages(taught, texts):
             moved = {n: best if at and total[n] < total[best] - language.SWITCH else n for n in names}
             paths = {n: [*paths[moved[n]], n] for n in names}
             total = {n: max(total[n], total[best] - language.SWITCH if at else total[n]) + worth[n] for n in names}
-        share = Counter()
+        share, margin = Counter(), 0.0
         for n, word in zip(paths[max(names, key=lambda n: total[n])] if words else [], words):
             share[n] += len(word)
+            margin += sum(math.log(logs[n][0][t] + 0.02) - logs[n][1] - least[n] for t in triples(word))
         lang = max(names, key=lambda n: share[n]) if words else "und"
-        found.append((lang, share[lang] / share.total() if words else 0.0))
+        found.append((lang, share[lang] / share.total() if words else 0.0, margin))
     return found
 
 
@@ -129,13 +132,20 @@ def test_languages_by_brute_force(spark, monkeypatch):
     texts = [(r.text or "")[:600] for r in rows[:30]]
     texts += [texts[0] + " " + texts[1] + " " + texts[2], "", "́́ 123", "漢字 и слово", "naïve Ünïcode ǅ İx"]
     got = language.label(texts, language.fit(docs)).to_pylist()
-    for text, row, (lang, score) in zip(texts, got, plain_languages(sorted(taught), texts), strict=True):
+    for text, row, (lang, score, margin) in zip(texts, got, plain_languages(sorted(taught), texts), strict=True):
         assert row["lang"] == lang and math.isclose(row["score"], score, abs_tol=1e-9), text[:60]
+        if margin > -1e5:  # all words in a script that a language uses
+            assert math.isclose(row["margin"], margin, rel_tol=1e-4, abs_tol=0.05), text[:60]
 
 
-def test_the_language_stage_keeps_what_the_operator_finds_in_one_language(spark):
+def test_the_language_stage_keeps_what_is_in_a_learned_language(spark):
     docs = given(spark, "documents")
-    found = {r.doc_id for r in QUERIES["op8_language_id"](spark, SF).collect() if r.lang_pred != "und" and r.score >= corpus_pipeline.ONE_LANGUAGE}
+    foreign = ["Szanowni mieszkańcy, w dniu jutrzejszym odbędzie się zebranie w sali gimnastycznej naszej szkoły", "xkq zvbw qqjx wkvz pfhg tzxk qpwm jvkx", "Добрый день, как ваши дела"]
+    docs = docs.unionByName(docs.sparkSession.createDataFrame([(10**9 + k, t) for k, t in enumerate(foreign)], "doc_id long, text string"), allowMissingColumns=True)
+    model = language.fit(docs.where(fold(4) != 2))
+    rows = language.with_languages(docs, model, "f").collect()
+    found = {r.doc_id for r in rows if r.f.lang != "und" and r.f.margin >= -4 * 12}
+    assert len(rows) - len(found) <= 3 + sum(r.f.lang == "und" for r in rows) + 0.002 * len(rows) and max(found) < 10**9
     kept = [r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF).collect()]
     assert sorted(kept) == sorted(r.doc_id for r in docs.collect() if r.doc_id in found)
     assert corpus_pipeline.language_id(spark, no_documents(spark), SF).collect() == []
