@@ -12,8 +12,8 @@ from parcelflow.llm import decontamination, language, near_duplicates, packing,
 from parcelflow.llm.columns import fold, free_name, table
 from parcelflow.session import new_work_dir
 
-#: Least score and least share of letters in one language that a document needs.
-GOOD, ONE_LANGUAGE = 0.5, 1 / 3
+#: Least score that a document needs.
+GOOD = 0.5
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,12 +24,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language, for a third of their letters or more; learned as op8 learns."""
+    """Documents in learned languages, by the margin that their words have on other languages; learned as op8 learns."""
     model = language.fit(docs.where(fold(4) != 2))
     name = free_name(docs, "_found")
-    found = F.col(name)
-    known = (found["lang"] != "und") & (found["score"] >= ONE_LANGUAGE)
-    return language.with_languages(docs, model, name).where(known).select(docs.columns)
+    return language.with_languages(docs, model, name).where(language.in_learned(F.col(name))).select(docs.columns)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
