@@ -155,3 +155,13 @@ def test_repeated_words_and_common_blocks_stay_cheap():
     n, spans, found = decontamination.hits(text, windows)
     assert found == {"r", items[7][0]} and [s[:2] for s in spans] == [(0, 20000), (n - 14, n)]
     assert time.process_time() - start < 10
+
+
+def test_very_long_texts_are_scanned_whole():
+    item = "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"
+    windows = decontamination.Windows([("a", item)])
+    filler = "Other, words. " * 350_000  # beyond the bytes that are taken apart at once
+    for at in (0, 7 * 2**19, len(filler)):
+        n, spans, found = decontamination.hits(f"{filler[:at]} {item} {filler[at:]}", windows)
+        ((first, stop, start, end),) = spans
+        assert found == {"a"} and (stop - first, end - start) == (14, len(item)) and n in (700_014, 700_015)
