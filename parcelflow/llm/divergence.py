@@ -114,7 +114,11 @@ def _cell(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     (names, p, p_absent), (others, q, q_absent) = sides
     absent = left.column("terms")[0].as_py() - width
     parts = np.stack([_apart(p[i], q).sum(axis=1) + absent * _apart(p_absent[i], q_absent) for i in range(len(names))])
-    i, j = np.nonzero(np.ones(parts.shape, bool) if a != b else ~np.eye(len(names), dtype=bool))
+    # The two sides of a block come in orders of their own: a source is told from the others by its name.
+    mates = pc.index_in(names, value_set=others).to_numpy(zero_copy_only=False) if a == b else ()
+    distinct = np.ones(parts.shape, bool)
+    distinct[np.arange(len(mates)), mates] = False
+    i, j = np.nonzero(distinct)
     ends = [names.take(pa.array(i)), others.take(pa.array(j))]
     value = parts[i, j]
     if a != b:

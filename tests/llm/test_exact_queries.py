@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.data import LONG, SF, given, no_documents, odd_documents
 from oracle import connect, duck_rows, spark_rows
@@ -164,3 +165,15 @@ def test_divergence_of_odd_rows(spark):
     rows = [(r.text, r.lang, r.source) for r in docs.collect()]
     assert Counter(tuple(r) for r in divergence.divergences(docs, least=1).collect()) == plain_divergence(rows, least=1)
     assert divergence.divergences(no_documents(spark)).collect() == []
+
+
+def test_divergence_cell_takes_its_sides_in_any_order():
+    """Shuffles hand the rows of a block to the two sides in orders of their own."""
+    rows = [("en", 0, s, 12, 2, t, c) for n, s in enumerate(["a", "b", "c", ""]) for t, c in ((None, 0), ("x", 8 - n), ("y", n))]
+    names = ["lang", "cut", "source", "below", "terms", "term", "count"]
+    left, right = (pa.Table.from_pylist([dict(zip(names, r)) for r in order]) for order in (rows, rows[5:][::-1] + rows[:5]))
+    key = tuple(map(pa.scalar, ("en", 0, 0, 0)))
+    cells = lambda a, b: {(r["source"], r["item"]): r["part_value"] for r in divergence._cell(key, a, b).to_pylist()}
+    found = cells(left, right)
+    assert set(found) == {(s, o) for s in ("a", "b", "c", "") for o in ("a", "b", "c", "") if s != o}
+    assert found == cells(left, left) and all(found[s, o] == found[o, s] for s, o in found)
