@@ -59,14 +59,15 @@ def open_pages(pages: DataFrame) -> DataFrame:
     """One row per record: ``(page_no, next_link, pos, raw)``.
 
     A page whose ``value`` is empty, null or missing keeps one row with a NULL
-    ``pos`` so that its link still moves the cursor.
+    ``pos`` so that its link still moves the cursor. The link is taken out
+    beforehand: taken out of the exploded rows, each of them would carry a
+    copy of its whole page.
     """
     env = F.col("env")
-    return pages.select("page_no", _envelope(F.col("body")).alias("env")).select(
-        "page_no",
-        env.getField("@odata.nextLink").alias("next_link"),
-        F.posexplode_outer(env.getField("value")).alias("pos", "raw"),
+    opened = pages.select("page_no", _envelope(F.col("body")).alias("env")).select(
+        "page_no", env.getField("@odata.nextLink").alias("next_link"), env.getField("value").alias("records")
     )
+    return opened.select("page_no", "next_link", F.posexplode_outer("records").alias("pos", "raw"))
 
 
 def follow_chain(pages: DataFrame, links: DataFrame | None = None) -> DataFrame:

@@ -1,10 +1,12 @@
 """Envelopes, chains and paging."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from parcelflow.operators import transform as tr
 from parcelflow.operators.paging import check_batch_size, oversized, paginate
 from parcelflow.session import new_work_dir
 from parcelflow.sources import pages as pg
@@ -49,6 +51,13 @@ def test_pack_is_the_inverse_of_open(pages):
     assert opened(pg.pack_pages(pg.open_pages(pages))) == expected()
 
 
+def test_records_carry_their_link_but_not_their_page(spark, pages):
+    """A page beside each of its records is copied as often as it has records."""
+    plan = tr.type_records(pg.open_pages(pages))._jdf.queryExecution().executedPlan().toString()
+    (carried,) = re.findall(r"Generate posexplode\(.*\), \[([^\]]*)\], true", plan)
+    assert {re.sub(r"#.*", "", name) for name in carried.split(", ")} == {"page_no", "next_link"}
+
+
 def test_landed_files_read_back(spark, pages):
     path = new_work_dir(spark, "landed")
     pg.land_pages(pages, path)
