@@ -18,11 +18,15 @@ def configure(spark: SparkSession) -> SparkSession:
     it can skip no row group. Generated methods above 8000 bytes of bytecode
     are not compiled by HotSpot, so Spark should split such code instead. The steps that type the promoted
     columns carry up to two hundred of them, more than Spark compiles by default.
+    A store's batches and landed pages lie in a folder each; by default Spark lists
+    them with one task a folder, which costs far more than the listing.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     spark.conf.set("spark.sql.codegen.maxFields", "400")
+    listers = 4 * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(listers))
     return spark
 
 

@@ -23,3 +23,9 @@ def test_a_local_session_gets_one_folder_of_its_own():
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(plain("spark://host:7077"))
+
+
+def test_many_folders_are_listed_by_a_few_tasks(spark):
+    """One task a folder made every batch slower by the number of those before it."""
+    listers = int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism"))
+    assert 0 < listers <= 4 * spark.sparkContext.defaultParallelism
