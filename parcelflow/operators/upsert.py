@@ -51,11 +51,13 @@ def latest_wide_rows(
 
     Ranking sorts its input on both sides of the shuffle. Here only the key
     and the place of arrival are ranked; the payload moves once, in a semi
-    join on the place, which is unique and so cannot be skewed.
+    join on the place, which is unique and so cannot be skewed. The join is a
+    merge, which can spill: there are as many places as keys, and Spark takes
+    them for few, by their share of the compressed files, and broadcasts them.
     """
     narrow = df.select(key, *([MODIFIED] if newest_wins else []), *order)
     places = latest_per_key(narrow, key, order, newest_wins, collation).select(*order)
-    return df.join(places, list(order), "left_semi")
+    return df.join(places.hint("merge"), list(order), "left_semi")
 
 
 def _same_key(left: str, right: str, key: str, collation: str | None) -> Column:
@@ -79,8 +81,9 @@ def not_older(
     """``winners`` without those older than the time that ``times`` holds for the key.
 
     A row without a time is older than any; of equal times the winner's counts.
+    ``times`` holds every key and is never broadcast.
     """
-    held = times.select(key, F.col(MODIFIED).alias("_held")).alias("b")
+    held = times.select(key, F.col(MODIFIED).alias("_held")).hint("merge").alias("b")
     later = F.col("_held").isNull() | (F.col(f"w.{MODIFIED}") >= F.col("_held"))
     return winners.alias("w").join(held, _same_key("w", "b", key, collation), "left").where(later).select("w.*")
 

@@ -104,3 +104,11 @@ def test_a_key_with_a_third_of_all_rows(spark):
     assert latest.count() == n - n // 3 + 1
     assert latest.where("ListingKey = 'hot'").first().MlsStatus == str(n - 3)
     assert set(ARRIVAL) <= set(latest.columns)
+
+
+def test_sides_with_a_row_per_key_are_not_broadcast(spark):
+    """However small Spark takes them for: what is held whole by each task grows with the store."""
+    rows = spark.range(3).selectExpr("string(id) AS ListingKey", "int(id) AS run_no", "id AS page_no", "int(id) AS pos", "timestamp_seconds(id) AS ModificationTimestamp")
+    for joined in (upsert.latest_wide_rows(rows), upsert.not_older(rows, rows)):
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
