@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.columns import by_bytes, texts_of
-from parcelflow.llm.pieces import id_encoder
+from parcelflow.llm.pieces import BLOCK, id_encoder
 from parcelflow.session import new_work_dir
 
 _HEAD = struct.Struct("<QI")
@@ -76,7 +76,7 @@ def write_records(docs: DataFrame, tokenizer_path: str, folder: str, kind: str =
         store.create_dir(root)
         part, record, before, out, name, at = TaskContext.get().partitionId(), 0, 0, None, "", 0
         try:
-            for batch in by_bytes(batches, "text"):
+            for batch in by_bytes(batches, "text", BLOCK):
                 rows = []
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch)), strict=True):
                     ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))

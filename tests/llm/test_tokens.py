@@ -59,6 +59,25 @@ def test_a_full_cache_changes_no_token(monkeypatch):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == plain_ids(BYTE, text)
 
 
+def test_repeated_pieces_are_looked_up_once():
+    class Counted(dict):
+        def get(self, piece, default=None):
+            seen.append(piece)
+            return super().get(piece, default)
+
+        def __getitem__(self, piece):
+            seen.append(piece)
+            return super().__getitem__(piece)
+
+    seen, texts = [], ["one two three " * 1000, "", "two one\n\nthree " * 1000]
+    for path, kind in ((BYTE, "byte"), (WORD, "word")):
+        encoder = pieces.id_encoder.__wrapped__(path, kind)
+        encoder._known = Counted()
+        ids = encoder.encode(texts)
+        assert [np.frombuffer(i, "<u4").tolist() for i in ids] == [plain_ids(path, t) for t in texts]
+    assert len(seen) < 100
+
+
 def test_token_counts_are_those_of_whole_texts(spark):
     for docs in (odd_documents(spark), given(spark, "documents")):
         texts = sorted((r.doc_id or 0, r.text or "") for r in docs.collect())
