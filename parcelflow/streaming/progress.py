@@ -195,11 +195,16 @@ def run_stream(
     checkpoint: str,
     **options,
 ) -> tuple[RunProgress, bool]:
-    """:func:`drive` for batches that ``prepare`` types and ``write`` stores, reading them once."""
+    """:func:`drive` for rows that ``prepare`` types and ``write`` stores, reading them once.
+
+    ``prepare`` is called once, on the stream, since building and analysing its plan anew
+    costs more than the rows of a small batch. It must work row by row: an aggregate,
+    a join or a window there would be the whole stream's, not a batch's.
+    """
 
     def load(batch: DataFrame, epoch: int) -> Mapping:
-        counts, typed = observe_batch(prepare(batch))
+        counts, typed = observe_batch(batch)
         write(typed, epoch)
         return counts.get
 
-    return drive(pages, load, run, checkpoint, **options)
+    return drive(prepare(pages), load, run, checkpoint, **options)

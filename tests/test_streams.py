@@ -54,6 +54,23 @@ def test_every_batch_is_reported_as_it_runs(spark):
     assert run(spark, root)[0].records == []
 
 
+def test_rows_are_prepared_once_and_not_for_every_batch(spark):
+    root, calls = new_work_dir(spark, "once"), []
+    land(spark, f"{root}/landing", 5)
+
+    def prepare(pages):
+        calls.append(pages.isStreaming)
+        return tr.type_records(pg.open_pages(pages), FIELDS)
+
+    done, _ = progress.run_stream(
+        pg.stream_landed(spark, f"{root}/landing", 2), prepare, lambda rows, epoch: rows.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}"), "once", f"{root}/checkpoint"
+    )
+    assert calls == [True] and [r.n_pages for r in done.records] == [2, 2, 1]
+    kept = spark.read.parquet(f"{root}/out").drop("epoch")
+    whole = tr.type_records(pg.open_pages(pg.read_landed(spark, f"{root}/landing")), FIELDS)
+    assert kept.count() == 20 and kept.exceptAll(whole).count() == whole.exceptAll(kept).count() == 0
+
+
 def test_a_stop_ends_the_query_without_a_failure_and_loses_nothing(spark):
     root = new_work_dir(spark, "stop")
     land(spark, f"{root}/landing", 7)
