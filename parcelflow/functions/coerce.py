@@ -50,6 +50,11 @@ def present(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
+def sent(kind: Column) -> Column:
+    """``present`` from the field's JSON kind; never NULL."""
+    return kind.isNotNull() & (kind != "VOID")
+
+
 def to_text(kind: Column, text: Column, width: int | None = None) -> Column:
     fits = kind == "STRING"
     if width is not None:

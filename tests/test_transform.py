@@ -1,6 +1,7 @@
 """Key check, typing, payload and validation of records."""
 
 import json
+import random
 from decimal import Decimal
 
 import pytest
@@ -140,6 +141,37 @@ def test_strict_mode_stops_and_names_the_fields(spark):
     assert tr.rejected_rows(kept).first()["bad_fields"] == ["ListPrice", "YearBuilt"]
 
 
+# Values of every JSON kind, for any field.
+ODD = [None, True, 0, 1, 7.5, -3, 10**15, 1e300, "", " ", "yes", "12", "1.0", "x" * 200, "2024-03-14", "2024-03-14T17:32:00+02:00", [], [1], {}, {"a": None}]
+
+
+def test_bad_fields_are_the_sent_ones_without_a_typed_value_in_schema_order(spark):
+    rng = random.Random(7)
+    records = [FULL, {"ListingKey": "k"}, {n: None for n in PROMOTED_NAMES}, {n: [] for n in PROMOTED_NAMES}]
+    for _ in range(300):
+        some = {n: rng.choice([*ODD, FULL[n]]) for n in PROMOTED_NAMES if rng.random() < rng.choice([0.1, 0.9])}
+        records.append({"ListingKey": "k", **some} if rng.random() < 0.8 else some)
+    got = typed(spark, [*records, "{cut", None])
+    for sent, row in zip(records, got):
+        bad = [n for n in PROMOTED_NAMES if sent.get(n) is not None and row[n] is None]
+        assert row["bad_fields"] == bad
+        key = sent.get("ListingKey")
+        lacking = key is None or (isinstance(key, str) and not key.strip())
+        assert row["outcome"] == (NO_KEY if lacking else INVALID if bad else STORED)
+    assert sum(row["outcome"] == INVALID for row in got) > 100
+    assert [row["bad_fields"] for row in got[-2:]] == [[], []]
+
+
+def test_no_step_of_the_typing_runs_a_lambda_or_carries_the_parsed_fields_on(spark, capsys):
+    # Few fields, so that the plan is shown whole.
+    fields = [f for f in PROMOTED if f.name in ("ListingKey", "ListPrice", "CloseDate", "SpaYN", "Stories")]
+    tr.type_records(frame(spark, [FULL]), fields).explain("extended")
+    plan = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    assert "lambda" not in plan and "from_json" in plan
+    # The top three projections read names and texts, not the parsed fields.
+    assert all("_in#" not in line for line in plan.split("Project ")[1:4])
+
+
 def test_bulk_file_line(spark):
     row = spark.sql(
         r"""SELECT 'a"b\\c' AS t, CAST(NULL AS string) AS n, true AS b,
