@@ -72,9 +72,10 @@ def _computed_once(column: Column) -> Column:
     expression in place of the name; for ``outcome`` that would parse the
     record again for every field. Filters never move below a projection that
     holds a non-deterministic column, while unused columns are still pruned.
-    A random number is one that streams allow too.
+    A random number is one that streams allow too. It is not compared as it is,
+    since Spark knows its range and drops a comparison that always holds.
     """
-    return F.when(F.rand(0) >= 0, column)
+    return F.when(F.rand(0) + 1 > 0, column)
 
 
 @cache
