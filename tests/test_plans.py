@@ -57,7 +57,7 @@ def test_stored_rows_do_not_parse_a_record_twice(spark):
     assert text.count("from_json") == 1
 
 
-@pytest.mark.parametrize("name", ["hot_view"])
+@pytest.mark.parametrize("name", ["promoted_projection", "hot_view"])
 def test_a_filter_on_the_outcome_stays_above_the_typing(spark, name):
     # All the promoted columns: with the parse copied into the filter this does not compile in minutes.
     text = entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
