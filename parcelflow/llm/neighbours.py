@@ -144,7 +144,12 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     gives no rows. Other columns are not read.
 
     Blocks of queries meet blocks of candidates in a join on their groups: no
-    block is broadcast, and a task holds two blocks at a time.
+    block is broadcast, and a task holds two blocks at a time, besides the
+    candidate blocks of a group, which the join keeps or spills. It is a merge
+    join, told by a hint: Spark does not see that the query blocks are copied
+    for every group and would send all copies through the driver. Such a join
+    gives all the candidates of a group for one block of queries after another,
+    so the tiles need no sort.
     """
     spark = vectors.sparkSession
     kind = "f8" if "double" in vectors.schema["embedding"].dataType.simpleString() else "f4"
@@ -189,7 +194,10 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         if held is not None:
             yield best()
 
-    tiles = left.join(right, ["group", "dim"]).sortWithinPartitions("query").select("query", "dim", "query_ids", "query_vectors", "ids", "vectors")
+    # More places than groups, so that tasks have one or two: few groups dealt over few tasks by hash meet by chance.
+    places = max(groups, min(4 * groups, 2000))
+    left, right = (side.repartition(places, "group", "dim") for side in (left, right))
+    tiles = left.hint("merge").join(right, ["group", "dim"]).select("query", "dim", "query_ids", "query_vectors", "ids", "vectors")
     found = tiles.mapInArrow(compare, "query_id long, vec_id long, score double").distinct()
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

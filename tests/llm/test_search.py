@@ -52,6 +52,17 @@ def test_neighbours_of_odd_rows(spark):
     assert nearest(spark.createDataFrame([], VECTORS)).collect() == []
 
 
+def test_no_block_goes_through_the_driver(spark, monkeypatch):
+    # Query blocks are copied for every group, so their files say little about the copies.
+    monkeypatch.setattr(neighbours, "CANDIDATE_ROWS", 32)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(1000)]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_neighbours_of_the_given_table(spark):
     rows = [(r.vec_id, r.embedding) for r in given(spark, "embeddings").collect()]
     got = sorted(tuple(r) for r in nearest(given(spark, "embeddings")).collect())
