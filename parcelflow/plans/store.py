@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -63,6 +64,26 @@ def utc_now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _held(value: datetime | int) -> Column:
+    """A value that generated code looks up, rather than a literal in its text.
+
+    Spark compiles a text anew whenever it differs, and what is compiled anew is also
+    interpreted at first. A time or a number of the batch must not make each batch's
+    code another one, so it is read from an array, at a place that Spark does not fold.
+    """
+    return F.get(F.array(F.lit(value)), F.spark_partition_id() * 0)
+
+
+@dataclass
+class RunState:
+    """Where a run stands: its next batch, its number, the first page without a link, the epochs it has committed."""
+
+    batch: int
+    run_no: int
+    end: int | None
+    done: set[int]
+
+
 class ListingStore:
     """A store of listings below one folder.
 
@@ -173,6 +194,18 @@ class ListingStore:
             F.coalesce(F.bool_or(of_run & (F.col("epoch") == epoch)), F.lit(False)).alias("done"),
         ).first()
 
+    def open_run(self, run_key: str) -> RunState:
+        """The state of a run, read once; ``ingest`` carries it on from batch to batch."""
+        place = self._next(run_key, -1)
+        done = self.commits().where(F.col("run_key") == run_key).select("epoch").collect()
+        ends = self._of_run(self.ledger(), run_key).where(F.col("next_link").isNull())
+        end = ends.agg(F.min("page_no")).first()[0]
+        return RunState(place["batch"], place["run_no"], end, {r["epoch"] for r in done})
+
+    def _is_committed(self, batch: int) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._partition("commits", batch))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def progress(self) -> DataFrame:
         """The progress record of every committed page, run by run."""
         runs = self.commits().select("batch_id", "run_key", "started_at")
@@ -187,15 +220,8 @@ class ListingStore:
             .first()
         )
 
-    def prepare(
-        self,
-        pages: DataFrame,
-        loaded_at: datetime,
-        since: datetime | None = None,
-        quarantine: bool = False,
-        inclusive: bool = False,
-    ) -> DataFrame:
-        """Typed and stamped rows of some pages, before any write.
+    def typed(self, pages: DataFrame, since: datetime | None = None, inclusive: bool = False) -> DataFrame:
+        """Typed rows of some pages, also of a stream of them; each row on its own.
 
         With ``since`` rows changed after it are kept, and with ``inclusive``
         those changed at that very time too.
@@ -215,9 +241,21 @@ class ListingStore:
                 .withColumn("outcome", F.when(marker, EMPTY_PAGE).otherwise(F.col("outcome")))
                 .withColumn("raw_data", F.when(~marker, F.col("raw_data")))
             )
+        return typed
+
+    def prepare(
+        self,
+        pages: DataFrame,
+        loaded_at: datetime,
+        since: datetime | None = None,
+        quarantine: bool = False,
+        inclusive: bool = False,
+    ) -> DataFrame:
+        """Typed and stamped rows of some pages, before any write."""
+        typed = self.typed(pages, since, inclusive)
         if not quarantine:
             typed = tr.enforce(typed)
-        return tr.stamp(typed, F.lit(loaded_at))
+        return tr.stamp(typed, _held(loaded_at))
 
     def ingest(
         self,
@@ -229,35 +267,96 @@ class ListingStore:
         quarantine: bool = False,
         started_at: datetime | None = None,
         inclusive: bool = False,
+        run: RunState | None = None,
     ) -> Row:
         """Write one batch of pages and commit it; repeating a call is harmless.
 
         The pages are parsed once. Counts and the newest time come from a
-        narrow read of the rows just written.
+        narrow read of the rows just written. With the state of a ``run`` the
+        pages are rows that ``typed`` gave, and earlier commits are not read again.
         """
+        if run is not None:
+            return self._ingest_typed(pages, run_key, epoch, mode, quarantine, started_at, run)
         place = self._next(run_key, epoch)
         if place["done"]:
             return self.find_commit(run_key, epoch)
-        batch, run_no = place["batch"], place["run_no"]
         loaded_at = utc_now()
         rows = self.prepare(self._in_chain(pages, run_key), loaded_at, since, quarantine, inclusive)
+        seen = self._write(rows, place["batch"], place["run_no"])
+        return self._commit(place["batch"], seen, run_key, epoch, mode, started_at or loaded_at)
+
+    def _ingest_typed(
+        self,
+        rows: DataFrame,
+        run_key: str,
+        epoch: int,
+        mode: str,
+        quarantine: bool,
+        started_at: datetime | None,
+        run: RunState,
+    ) -> Row:
+        """A batch of typed rows, whose pages' links are known only once it is written.
+
+        A batch that also brings pages past the first without a link is written
+        again without them. Unreadable records count only in pages that stay.
+        """
+        if epoch in run.done:
+            return self.find_commit(run_key, epoch)
+        if self._is_committed(run.batch):
+            # Another run has written meanwhile.
+            run.__dict__.update(vars(self.open_run(run_key)))
+        loaded_at = utc_now()
+
+        def write(end: int | None) -> Row:
+            kept = rows if end is None else rows.where(F.col("page_no") <= end)
+            return self._write(tr.stamp(kept, _held(loaded_at)), run.batch, run.run_no)
+
+        seen = write(run.end)
+        if seen["end"] is not None and seen["last_page"] > seen["end"]:
+            seen = write(seen["end"])
+        if seen["n_invalid"] and not quarantine:
+            # Fails as the same rows would on their way in.
+            written = self._read_one("change_log", run.batch)
+            tr.enforce(written).write.format("noop").mode("overwrite").save()
+        commit = self._commit(run.batch, seen, run_key, epoch, mode, started_at or loaded_at)
+        run.done.add(epoch)
+        run.batch += 1
+        run.end = min((e for e in (run.end, seen["end"]) if e is not None), default=None)
+        return commit
+
+    def _write(self, rows: DataFrame, batch: int, run_no: int) -> Row:
+        """Write a batch's log and ledger, not yet its commit; what its pages show."""
         rows.withColumn("run_no", F.lit(run_no)).select(
             *T.StructType.fromDDL(_DDL["change_log"]).names
         ).write.mode("overwrite").parquet(self._partition("change_log", batch))
 
         page_ledger(self._read_one("change_log", batch)).withColumn(
-            "committed_at", F.lit(utc_now())
+            "committed_at", _held(utc_now())
         ).write.mode("overwrite").parquet(self._partition("page_ledger", batch))
 
-        written = self._read_one("page_ledger", batch)
-        copies = written.groupBy("page_no").agg(F.sum("n_copies").alias("n_copies"))
-        twin = copies.where(F.col("n_copies") > 1).select("page_no").first()
-        if twin is not None:
-            raise ValueError(f"page {twin['page_no']} was landed more than once")
-        summary = written.agg(
+        pages = self._read_one("page_ledger", batch).groupBy("page_no").agg(
+            F.sum("n_copies").alias("n_copies"),
+            F.sum("n_invalid").alias("n_invalid"),
+            F.bool_or(F.col("next_link").isNull()).alias("ends"),
+        )
+        return pages.agg(
             F.lit(run_no).alias("run_no"),
+            F.min(F.when(F.col("n_copies") > 1, F.col("page_no"))).alias("twin"),
+            F.min(F.when(F.col("ends"), F.col("page_no"))).alias("end"),
+            F.max("page_no").alias("last_page"),
+            F.coalesce(F.sum("n_invalid"), F.lit(0)).alias("n_invalid"),
+        ).first()
+
+    def _commit(
+        self, batch: int, seen: Row, run_key: str, epoch: int, mode: str, started_at: datetime
+    ) -> Row:
+        """Make a written batch visible."""
+        if seen["twin"] is not None:
+            raise ValueError(f"page {seen['twin']} was landed more than once")
+        summary = self._read_one("page_ledger", batch).agg(
+            F.lit(seen["run_no"]).alias("run_no"),
             F.lit(run_key).alias("run_key"),
-            F.lit(epoch).cast("bigint").alias("epoch"),
+            _held(epoch).cast("bigint").alias("epoch"),
             F.lit(mode).alias("mode"),
             F.count("*").alias("n_pages"),
             F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
@@ -265,8 +364,8 @@ class ListingStore:
             F.max("max_ts").alias("max_ts"),
             F.max("page_no").alias("last_page"),
             F.max_by("next_link", "page_no").alias("next_link"),
-            F.lit(started_at or loaded_at).alias("started_at"),
-            F.lit(utc_now()).alias("committed_at"),
+            _held(started_at).alias("started_at"),
+            _held(utc_now()).alias("committed_at"),
         )
         # One row, one file: the batch appears whole or not at all.
         summary.coalesce(1).write.mode("overwrite").parquet(self._partition("commits", batch))

@@ -57,13 +57,14 @@ def run_pages(
     completes, and no further one is written.
     """
     store.create()
-    started = utc_now()
+    started, run = utc_now(), store.open_run(run_key)
 
-    def load(pages: DataFrame, epoch: int) -> dict:
-        return store.ingest(pages, run_key, epoch, mode, since, quarantine, started, inclusive).asDict()
+    def load(rows: DataFrame, epoch: int) -> dict:
+        return store.ingest(rows, run_key, epoch, mode, since, quarantine, started, inclusive, run).asDict()
 
-    pages = stream_landed(store.spark, landing, pages_per_batch)
-    _, stopped = drive(pages, load, run_key, f"{store.root}/checkpoints/{run_key}", should_stop, report)
+    # Typed on the stream: planned once, not anew for every batch.
+    rows = store.typed(stream_landed(store.spark, landing, pages_per_batch), since, inclusive)
+    _, stopped = drive(rows, load, run_key, f"{store.root}/checkpoints/{run_key}", should_stop, report)
     return _result(store, run_key, mode, started, stopped)
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.operators import audit
+from parcelflow.operators import transform as tr
 from parcelflow.plans.store import ListingStore
 from parcelflow.session import new_work_dir
 from parcelflow.sources import pages as pg
@@ -198,6 +199,56 @@ def test_graceful_stop_after_the_batch_in_flight(spark, store):
     assert not result.stopped and result.total_rows == 3
 
 
+def test_a_run_is_typed_once_and_reads_its_state_once(spark, store, monkeypatch):
+    landing = land(spark, [[record(n, n)] for n in (1, 2, 3)])
+    calls = []
+
+    def counted(name):
+        plain = getattr(ListingStore, name)
+        monkeypatch.setattr(ListingStore, name, lambda *args: calls.append(name) or plain(*args))
+
+    counted("_next")
+    typed = tr.type_records
+    monkeypatch.setattr(tr, "type_records", lambda *args: calls.append("typed") or typed(*args))
+    assert sync.full_sync(store, landing, "full", pages_per_batch=1).total_rows == 3
+    assert sorted(calls) == ["_next", "typed"]
+    assert [(r.batch_id, r.run_no, r.epoch) for r in store.commits().orderBy("batch_id").collect()] == [
+        (0, 0, 0), (1, 0, 1), (2, 0, 2)
+    ]
+
+
+def test_a_batch_leaves_out_pages_past_the_end_it_brings(spark, store):
+    # Page 1 has no link; what follows is no part of the load, not even its faults.
+    bodies = [{"value": [record(n + 1, n + 1)], "@odata.nextLink": "next"} for n in range(4)]
+    del bodies[1]["@odata.nextLink"]
+    bodies[3]["value"][0]["ListPrice"] = "dear"
+    landing = new_work_dir(spark, "landing")
+    rows = [(n, json.dumps(body)) for n, body in enumerate(bodies)]
+    pg.land_pages(spark.createDataFrame(rows, "page_no bigint, body string"), landing)
+    assert sync.full_sync(store, landing, "full").total_rows == 2
+    assert set(prices(store)) == {key(1), key(2)} and store.last_run()["done"]
+    assert sorted(r.page_no for r in store.ledger().collect()) == [0, 1]
+    assert store.read("change_log").where("page_no > 1").count() == 0
+
+
+def test_another_run_may_write_between_two_batches(spark, store):
+    landing = land(spark, [[record(n, n)] for n in (1, 2)])
+    other = json.dumps({"value": [record(1, 9, ListPrice="9.00")]})
+    pages = spark.createDataFrame([(0, other)], "page_no bigint, body string")
+    healthy, written = store.ingest, []
+
+    def two(*args):
+        commit = healthy(*args)
+        if not written:
+            written.append(healthy(pages, "other"))
+        return commit
+
+    store.ingest = two
+    assert sync.full_sync(store, landing, "full", pages_per_batch=1).total_rows == 2
+    commits = store.commits().orderBy("batch_id").collect()
+    assert [(r.batch_id, r.run_key, r.run_no) for r in commits] == [(0, "full", 0), (1, "other", 1), (2, "full", 2)]
+
+
 def test_pages_without_rows_still_move_the_cursor(spark, store):
     landing = land(spark, [[record(1, 1)], [], [{"ListingId": "x"}, {"ListingKey": " "}]])
     sync.full_sync(store, landing, "full")
