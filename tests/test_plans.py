@@ -2,6 +2,7 @@
 
 import os
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,16 @@ def test_a_filter_on_the_outcome_stays_above_the_typing(spark, name):
     assert not any("from_json" in line or "try_variant_get" in line for line in filters)
 
 
+def test_a_run_since_a_time_parses_a_record_once(spark):
+    store = ListingStore(spark, new_work_dir(spark, "since")).create()
+    pages = pg.pack_pages(feeds.event_records(spark, SF_DIR))
+    rows = store.prepare(pages, datetime(2024, 6, 1), since=datetime(2024, 1, 15))
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in text.splitlines() if re.match(r"\W*Filter ", line)]
+    assert any("outcome#" in line for line in filters)
+    assert not any("from_json" in line or "try_variant_get" in line for line in filters)
+
+
 def scanned_rows(df):
     df.collect()
     found = []
